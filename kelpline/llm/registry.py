@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kelpline.llm import decontaminate, mixing, pii, token_counts
+from kelpline.llm import decontaminate, language, licenses, mixing, pii, quality, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,18 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predict_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, count_col="n_replaced")
@@ -33,7 +45,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_decontaminate, op9_pseudonyms, op10_token_counts]
+    found = [op1_mixing, op2_decontaminate, op4_language, op6_quality, op7_licenses, op9_pseudonyms, op10_token_counts]
     return {f.__name__: f for f in found}
 
 
