@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kelpline.llm import decontaminate, language, licenses, mixing, pii, quality, token_counts
+from kelpline.llm import decontaminate, jaccard_join, language, licenses, mixing, pii, quality, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"))
+
+
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, count_col="n_replaced")
@@ -45,7 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_decontaminate, op4_language, op6_quality, op7_licenses, op9_pseudonyms, op10_token_counts]
+    found = [op1_mixing, op2_decontaminate, op4_language, op6_quality, op7_licenses, op8_jaccard_join, op9_pseudonyms, op10_token_counts]
     return {f.__name__: f for f in found}
 
 
