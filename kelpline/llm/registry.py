@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kelpline.llm import decontaminate, jaccard_join, language, lattice, licenses, mixing, pii, quality, token_counts
+from kelpline.llm import decontaminate, jaccard_join, language, lattice, licenses, mixing, pii, quality, suffix_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,7 +57,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_mixing, op2_decontaminate, op3_lattice, op4_language, op6_quality, op7_licenses, op8_jaccard_join, op9_pseudonyms, op10_token_counts]
+    found = [op1_mixing, op2_decontaminate, op3_lattice, op4_language, op5_suffix_dedup, op6_quality, op7_licenses, op8_jaccard_join, op9_pseudonyms, op10_token_counts]
     return {f.__name__: f for f in found}
 
 
