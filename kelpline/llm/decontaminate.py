@@ -155,8 +155,8 @@ def covered(first: np.ndarray, past: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """doc_id, n_words, spans (disjoint word ranges that occur in the benchmark), item_ids of every row.
+def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", index_bytes: int = INDEX_BYTES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, spans (disjoint word ranges that occur in the benchmark), item_ids of every row, and the columns ``keep``.
 
     Each slice of a partition is a shard: a suffix array is built over its words (only suffixes that
     start with two words of some test suffix can matter) and every test suffix is binary-searched in it;
@@ -174,9 +174,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).alias("text"))
     weight = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + F.count(F.lit(1)) * 16).first()[0]
     n_parts = max(1, -(-int(weight) // index_bytes))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(k).alias(f"_kept_{k}") for k in keep])
+    kept = [f"_kept_{k}" for k in keep]
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("past", T.LongType())]))
-    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("digest", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("item_ids", T.ArrayType(T.StringType()))])
+    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("digest", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("spans", span), T.StructField("item_ids", T.ArrayType(T.StringType())), *[rows.schema[k] for k in kept]])
     struct = pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))
     passes = []
     for p in range(n_parts):
@@ -188,7 +189,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
                 found = list(_scan(part, index.value, window))
                 digests = [hashlib.md5((t or "").encode()).digest() for t in part.column("text").to_pylist()] if n_parts > 1 else [b""] * len(found)
                 spans = [[{"first": a, "past": b} for a, b in covered(x[2], x[3])] for x in found]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digests, pa.binary()), pa.array([x[1] for x in found], pa.int64()), pa.array(spans, struct), pa.array([x[4] for x in found], pa.list_(pa.string()))], names=["doc_id", "digest", "n_words", "spans", "item_ids"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digests, pa.binary()), pa.array([x[1] for x in found], pa.int64()), pa.array(spans, struct), pa.array([x[4] for x in found], pa.list_(pa.string())), *[part.column(k) for k in kept]], names=["doc_id", "digest", "n_words", "spans", "item_ids", *kept])
 
         passes.append(rows.mapInArrow(run, schema))
     if n_parts == 1:
@@ -197,13 +198,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
     for other in passes[1:]:
         found = found.unionByName(other)
     # each row of documents gives one row a pass; equal rows of one id stay apart by their count
-    both = found.groupBy("doc_id", "digest").agg(F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.flatten(F.collect_set("item_ids")).alias("item_ids"), (F.count(F.lit(1)) / n_parts).cast("int").alias("_times"))
+    both = found.groupBy("doc_id", "digest", *kept).agg(F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"), F.flatten(F.collect_set("item_ids")).alias("item_ids"), (F.count(F.lit(1)) / n_parts).cast("int").alias("_times"))
     joined = F.aggregate(
         "spans",
         F.expr("cast(array() as array<struct<first:bigint,past:bigint>>)"),
         lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["past"] >= x["first"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["past"], x["past"]).alias("past"))))).otherwise(F.array_append(acc, x)),
     )
-    return both.withColumn("spans", F.when(F.size("spans") > 0, joined).otherwise(F.col("spans"))).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("doc_id", "n_words", "spans", F.array_sort("item_ids").alias("item_ids"))
+    return both.withColumn("spans", F.when(F.size("spans") > 0, joined).otherwise(F.col("spans"))).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("doc_id", "n_words", "spans", F.array_sort("item_ids").alias("item_ids"), *kept)
 
 
 def contamination_report(found: DataFrame) -> DataFrame:

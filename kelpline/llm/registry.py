@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from kelpline.llm import decontaminate, jaccard_join, language, lattice, licenses, mixing, pii, quality, suffix_dedup, token_counts
 
 
+_ROOT = Path(__file__).resolve().parents[2]
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the workers where they would not find it by PYTHONPATH or the current folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED or str(_ROOT) in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(":")):
+        return
+    archive = Path(tempfile.mkdtemp()) / "kelpline.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((_ROOT / "kelpline").rglob("*.py")):
+            z.write(f, f.relative_to(_ROOT))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -12,8 +12,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: list[str] = []
-
-
 _LOCAL: dict[str, str] = {}
 
 
@@ -37,6 +35,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As ``materialise``, bucketed by ``key`` so that joins on it read the table where it lies."""
+    spark = df.sparkSession
+    table = f"kelpline_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/kelpline/{table}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    _WRITTEN.append(path)
+    return spark.table(table)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table that this session has written; results that still read them become invalid."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpline.llm.bytetools import _BASE, _INVERSE, buffers, mix, powers, slices
-from kelpline.llm.storage import materialise, shared_dir
+from kelpline.llm.storage import bucketed, materialise
 
 #: Bytes of the sampled strings; any repeated string of ``length`` bytes holds the one of least hash in it.
 SAMPLE = 64
@@ -371,10 +370,7 @@ def remove_repeats(df: DataFrame, *, length: int = 200, hot: int = HOT, id_col:
     rows = df.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(text)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha"))
     packed = _packed(df.select(F.col(text_col).alias("text")), length)
     packed = packed.groupBy("key").agg(F.first("packed").alias("packed"), F.count(F.lit(1)).alias("copies"))
-    name = f"kelpline_texts_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed.write.bucketBy(buckets, "key").option("path", f"{shared_dir(spark).rstrip('/')}/kelpline/{name}").saveAsTable(name)
-    texts = spark.table(name)
+    texts = bucketed(packed, "key", "texts")
     places = _samples(texts.select("key", "packed"), length)
     again = materialise(places.groupBy("sample").agg(F.sum(1 + F.col("place").bitwiseAND(1)).alias("n")).where("n > 1"), "suffix-samples")
     repeated = materialise(places.join(again, "sample").select("sample", "key", "place", "n"), "suffix-places")
