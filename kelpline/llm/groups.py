@@ -41,11 +41,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
+def in_blocks(rows: DataFrame, member: str, block: int = BLOCK) -> DataFrame:
+    """Rows of groups of _n with _blocks and _own instead: how many blocks their group is cut into, and the member's."""
+    rows = rows.withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int")).drop("_n")
+    return rows.withColumn("_own", F.pmod(F.xxhash64(member, F.lit(3)), F.col("_blocks").cast("long")).cast("int"))
+
+
 def placed(df: DataFrame, key: str, member: str, block: int = BLOCK) -> DataFrame:
-    """Rows of ``df`` whose ``key`` has at least two, with _blocks and _own: how many blocks the group is cut into, and the member's."""
+    """Rows of ``df`` whose ``key`` has at least two, as ``in_blocks`` gives them."""
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    rows = df.join(sizes, key).withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int")).drop("_n")
-    return rows.withColumn("_own", F.pmod(F.xxhash64(member, F.lit(3)), F.col("_blocks").cast("long")).cast("int"))
+    return in_blocks(df.join(sizes, key), member, block)
 
 
 def dealt(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelpline.llm.bytetools import buffers, mix, shingles, slices, words
-from kelpline.llm.groups import connected_components, dealt, least_labels, pair_mask, placed, streamed
+from kelpline.llm.groups import connected_components, dealt, in_blocks, least_labels, pair_mask, placed, streamed
 from kelpline.llm.storage import materialise
 
 #: Sampled tokens of a set: its least shingle under each of so many hash functions.
@@ -20,6 +21,8 @@ TOKENS = 128
 #: 0.63, after two 0.47, after three 0.37, so all of 20 runs miss it with at most 1e-4; members
 #: of a group mostly have more than one way to it.
 RUNS = 20
+#: Of the tokens, so many give a byte each to the sketch by which a bucket's sets are compared.
+SKETCH = 64
 #: Buckets of more sets are split again, at most so often; then they are compared in blocks.
 BUCKET, DEPTH = 256, 3
 
@@ -96,16 +99,16 @@ def _bucket_links(table: pa.Table) -> pa.RecordBatch | None:
     The estimate is loose: within four and a half deviations of 0.8, and within more for small sets.
     """
     did = table.column("did").to_numpy()
-    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, TOKENS)
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
     n = table.column("n").to_numpy()
     mask = pair_mask(table.column("_i")[0].as_py(), table.column("_j")[0].as_py(), table.column("_own").to_numpy())
     alike = np.zeros((len(did), len(did)), bool)
-    step = max(1, (1 << 22) // (len(did) * TOKENS))
-    small = np.minimum(n, TOKENS)
+    step = max(1, (1 << 22) // (len(did) * SKETCH))
+    small = np.minimum(n, SKETCH)
     for lo in range(0, len(did), step):
         same = (sketch[lo : lo + step, None, :] == sketch[None, :, :]).mean(2)
         least = 0.8 - 4.5 * np.sqrt(0.16 / np.minimum(small[lo : lo + step, None], small[None, :]))
-        alike[lo : lo + step] = same >= np.minimum(least, 0.64)
+        alike[lo : lo + step] = same >= np.minimum(least, 0.575)
     alike &= mask
     labels = least_labels(alike)
     on = np.flatnonzero(labels != np.arange(len(did)))
@@ -120,27 +123,21 @@ def candidate_links(sets: DataFrame, similarity: float, runs: int, bucket: int,
     end, those of up to ``bucket`` are compared, larger ones are split again; what is still larger after
     ``depth`` splits, sets that are nearly all alike, is compared in pairs of blocks.
     """
-    spark = sets.sparkSession
-    roots = F.explode(F.array(*[F.lit(int(x)) for x in mix(np.arange(101, 101 + runs, dtype=np.uint64)).view(np.int64)]))
+    roots = F.explode(F.array(*[F.lit(int(x)) for x in mix(np.arange(1001, 1001 + runs, dtype=np.uint64)).view(np.int64)]))
     rows = sets.select("did", "tokens", roots.alias("path"))
-    sketches = sets.select("did", "n", F.col("sketch"))
-    done = None
+    ready = []
     for level in range(1, depth + 1):
         split = materialise(_split(rows, similarity), "paths")
-        sizes = split.groupBy("path").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
-        kept = split.join(sizes, "path")
-        if level < depth:
-            large = kept.where(F.col("_m") > bucket).select("path", "did")
-            large = materialise(large, "paths-large")
-            last = large.isEmpty()
-            ready = kept.where(F.col("_m") <= bucket).select("path", "did")
-        else:
-            last, ready = True, kept.select("path", "did")
-        done = ready if done is None else done.unionByName(ready)
-        if last:
+        sizes = split.groupBy("path").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        kept = materialise(split.join(sizes, "path"), "paths-shared")
+        large = kept.where(F.col("_n") > bucket)
+        if level == depth or large.isEmpty():
+            ready.append(kept)
             break
-        rows = large.join(sets.select("did", "tokens"), "did").select("path", "did", "tokens")
-    members = dealt(placed(done, "path", "did").join(sketches, "did"))
+        ready.append(kept.where(F.col("_n") <= bucket))
+        rows = large.select("path", "did").join(sets.select("did", "tokens"), "did").select("path", "did", "tokens")
+    done = reduce(DataFrame.unionByName, ready)
+    members = dealt(in_blocks(done, "did").join(sets.select("did", "n", "sketch"), "did"))
     return streamed(members.select("path", "_i", "_j", "_own", "did", "n", "sketch"), ["path", "_i", "_j"], _bucket_links, "u long, v long").distinct()
 
 
@@ -200,7 +197,7 @@ def jaccard_links(df: DataFrame, *, similarity: float = 0.8, width: int = 5, run
     docs = materialise(shingle_sets(df, width, id_col, text_col), "jaccard-documents")
     named = docs.where(F.col("name").isNotNull())
     classes = named.groupBy("name").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.min("row").alias("first"), F.min(F.struct("n", "tokens")).alias("_s"))
-    every = F.concat(*[F.substring("_s.tokens", 4 * k + 1, 1) for k in range(TOKENS)])
+    every = F.concat(*[F.substring("_s.tokens", 4 * k + 1, 1) for k in range(SKETCH)])
     classes = classes.select("name", "class_id", "copies", "first", F.col("_s.n").alias("n"), F.col("_s.tokens").alias("tokens"), every.alias("sketch"), F.monotonically_increasing_id().alias("did"))
     classes = materialise(classes, "jaccard-classes")
     links = materialise(candidate_links(classes, similarity, runs, bucket, depth), "jaccard-candidates")
@@ -208,7 +205,7 @@ def jaccard_links(df: DataFrame, *, similarity: float = 0.8, width: int = 5, run
     members = groups.withColumnRenamed("node", "did").join(classes.select("did", "first", "copies"), "did")
     members = materialise(placed(members, "root", "did"), "jaccard-members")
     texts = df.select(F.struct(F.xxhash64(F.col(text_col)).alias("hash"), F.col(id_col).alias("id")).alias("row"), F.col(text_col).alias("text"))
-    chosen = texts.join(members, texts["row"] == members["first"]).select("root", "_blocks", "_own", "did", "copies", "text")
+    chosen = texts.join(members.hint("merge"), texts["row"] == members["first"]).select("root", "_blocks", "_own", "did", "copies", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
