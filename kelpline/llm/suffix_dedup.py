@@ -16,7 +16,7 @@ from kelpline.llm.storage import bucketed, materialise
 #: Bytes of the sampled strings; any repeated string of ``length`` bytes holds the one of least hash in it.
 SAMPLE = 64
 #: Sampled strings that occur more often than this are compared by the hashes of their windows, spread over all tasks.
-HOT = 1024
+HOT = 8192
 _TILE = 1 << 18
 _PLACE = np.uint64((1 << 20) - 1)
 
@@ -314,15 +314,19 @@ def _hot_ranges(texts: DataFrame, length: int) -> DataFrame:
             new = np.concatenate([[True], (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])])
             head = np.flatnonzero(new)
             count = np.diff(np.append(head, len(order)))
-            here = order[np.repeat(count > 1, count)]  # repeated: the place alone
+            here = order[np.repeat(count > 1, count)]  # repeated: the places alone, as ranges
             alone = order[head[count == 1]]  # to be seen: hash and place
             told = order[head[count > 1]]  # repeated: the hash alone, twice
             hashed = np.concatenate([alone, told, told])
-            void = pa.nulls(len(here), pa.int64())
+            here = here[np.lexsort((start[here], of[here]))]
+            o, s = of[here], start[here]
+            run = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1)])) if len(here) else np.zeros(0, np.int64)
+            last = np.append(run[1:], len(here)) - 1 if len(here) else run
+            void = pa.nulls(len(run), pa.int64())
             join = lambda x: pa.concat_arrays([void, pa.array(x[hashed].view(np.int64))])
-            keys = pa.array([names[k] for k in np.concatenate([of[here], of[alone]]).tolist()] + [None] * (2 * len(told)), pa.binary())
-            first = pa.array(start[np.concatenate([here, hashed])])
-            return pa.RecordBatch.from_arrays([join(low), join(high), keys, first], names=["low", "high", "key", "first"])
+            keys = pa.array([names[k] for k in np.concatenate([o[run], of[alone]]).tolist()] + [None] * (2 * len(told)), pa.binary())
+            first, past = (pa.array(np.concatenate([a, start[hashed] + b])) for a, b in ((s[run], 0), (s[last] + length, length)))
+            return pa.RecordBatch.from_arrays([join(low), join(high), keys, first, past], names=["low", "high", "key", "first", "past"])
 
         held = 0
         for key, data, _, place in _placed(batches):
@@ -340,11 +344,11 @@ def _hot_ranges(texts: DataFrame, length: int) -> DataFrame:
         if seen:
             yield settled()
 
-    rows = materialise(texts.mapInArrow(run, "low long, high long, key binary, first long"), "suffix-hot")
-    local = rows.where("low is null").select("key", "first")
-    rest = rows.where("low is not null").groupBy("low", "high").agg(F.collect_list(F.struct("key", "first")).alias("places")).where(F.size("places") > 1)
-    rest = rest.select(F.explode("places").alias("p")).where("p.key is not null").select("p.key", "p.first")
-    return local.unionByName(rest).select("key", "first", (F.col("first") + length).alias("past"))
+    rows = materialise(texts.mapInArrow(run, "low long, high long, key binary, first long, past long"), "suffix-hot")
+    local = rows.where("low is null").select("key", "first", "past")
+    rest = rows.where("low is not null").groupBy("low", "high").agg(F.collect_list(F.struct("key", "first", "past")).alias("places")).where(F.size("places") > 1)
+    rest = rest.select(F.explode("places").alias("p")).where("p.key is not null").select("p.key", "p.first", "p.past")
+    return local.unionByName(rest)
 
 
 def remove_repeats(df: DataFrame, *, length: int = 200, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
