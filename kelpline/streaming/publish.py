@@ -49,6 +49,8 @@ class Publisher:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Publish one micro-batch: re-derive the sessions it touches, write the difference, then the hours and users it changes."""
+        if batch_id <= self.generation():  # committed before a restart
+            return
         self._write(batch, "events", batch_id)
         arrived = self.spark.read.parquet(f"{self.folder}/events/batch={batch_id}")
         touched = arrived.select("video_session_id").distinct()
