@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelpline.operators.minutes import held_curve, hour
+from kelpline.operators.minutes import held_curve, hour, within
 from kelpline.sources.schema import KEYS
 
 #: Bits of a cube level: which key dimensions are kept. Dropped ones show a sentinel, so always filter by level.
@@ -56,7 +56,8 @@ def hour_view(hours: DataFrame, level: int) -> DataFrame:
 def day_view(hours: DataFrame, level: int) -> DataFrame:
     """Days of one level: highest peak, earliest minute of it, integral, average over 24 hours, active hours."""
     rows = hours.where((F.col("cube_level") == level) & ((F.col("peak") != 0) | (F.col("integral") != 0)))
-    days = rows.groupBy(*KEYS, "cube_level", (F.floor(F.col("hour") / 86400) * 86400).alias("day"))
+    day = F.col("day") if "day" in hours.columns else F.floor(F.col("hour") / 86400) * 86400
+    days = rows.groupBy(*KEYS, "cube_level", day.alias("day"))
     best = F.max_by("peak_minute", F.struct("peak", -F.col("peak_minute")))
     return days.agg(F.max("peak").alias("peak"), best.alias("peak_minute"), F.sum("integral").alias("integral"), (F.sum("integral") / 86400).alias("avg_concurrent"), F.count(F.lit(1)).alias("active_hours"))
 
@@ -79,9 +80,10 @@ def window_range(deltas: DataFrame, hours: DataFrame, start_s: int, end_s: int,
     filters = {"platform": platform, "country": country, "content_id": content_id}
     lo, hi = -(-start_s // 3600) * 3600, end_s // 3600 * 3600
     ragged = sorted({h for h in (start_s // 3600 * 3600, (end_s - 1) // 3600 * 3600) if h < lo or h >= hi})
-    whole = pinned(hours, **filters).where((F.col("hour") >= lo) & (F.col("hour") < hi))
+    whole = within(pinned(hours, **filters), "hour", lo, hi) if lo < hi else hours.where(F.lit(False))
     whole = whole.agg(F.max("peak").alias("wp"), F.max_by("peak_minute", F.struct("peak", -F.col("peak_minute"))).alias("wm"), F.coalesce(F.sum("integral"), F.lit(0)).alias("wi"), F.count(F.lit(1)).alias("wn"))
-    edge = deltas.where(hour(F.col("minute")).isin(ragged)) if ragged else deltas.where(F.lit(False))
+    edges = [within(deltas, "minute", h, h + 3600) for h in ragged]
+    edge = reduce(DataFrame.unionByName, edges) if edges else deltas.where(F.lit(False))
     for k, v in filters.items():
         edge = edge if v is None else edge.where(F.col(k) == v)
     a, b = F.greatest(F.col("minute"), F.lit(start_s)), F.least(F.col("next_minute"), F.lit(end_s))

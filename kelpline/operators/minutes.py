@@ -20,6 +20,12 @@ def hour(seconds: Column) -> Column:
     return F.floor(seconds / 3600) * 3600
 
 
+def within(rows: DataFrame, column: str, start_s: int, end_s: int) -> DataFrame:
+    """Rows whose ``column`` is in [start_s, end_s): plain bounds that reach the scan, and whole days if the table is partitioned by day."""
+    rows = rows.where((F.col(column) >= start_s) & (F.col(column) < end_s))
+    return rows.where(F.col("day").between(start_s // 86400 * 86400, (end_s - 1) // 86400 * 86400)) if "day" in rows.columns else rows
+
+
 def merged_runs(intervals: DataFrame, *keys: str) -> DataFrame:
     """Intervals of one ``keys`` (a session, or a session and user) that touch or follow within a minute, as one.
 
@@ -83,7 +89,7 @@ def dense_curve(deltas: DataFrame, start_s: int, end_s: int) -> DataFrame:
         raise ValueError("a range of whole minutes is needed")
     first = start_s // 3600 * 3600
     spine = deltas.sparkSession.range(first, end_s, 60).withColumnRenamed("id", "minute")
-    points = deltas.where((F.col("minute") >= first) & (F.col("minute") < end_s)).groupBy("minute").agg(F.sum("delta").alias("d"))
+    points = within(deltas, "minute", first, end_s).groupBy("minute").agg(F.sum("delta").alias("d"))
     filled = spine.join(points, "minute", "left").withColumn("d", F.coalesce("d", F.lit(0)))
     along = Window.partitionBy(hour(F.col("minute"))).orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)
     return filled.select("minute", F.sum("d").over(along).alias("concurrent")).where(F.col("minute") >= start_s)
@@ -92,7 +98,7 @@ def dense_curve(deltas: DataFrame, start_s: int, end_s: int) -> DataFrame:
 def level_at(deltas: DataFrame, at_s: int) -> DataFrame:
     """One row (minute, concurrent): the sum of the hour's deltas up to that minute."""
     at = at_s // 60 * 60
-    return deltas.where((F.col("minute") >= at // 3600 * 3600) & (F.col("minute") <= at)).agg(F.lit(at).cast("long").alias("minute"), F.coalesce(F.sum("delta"), F.lit(0)).alias("concurrent"))
+    return within(deltas, "minute", at // 3600 * 3600, at + 60).agg(F.lit(at).cast("long").alias("minute"), F.coalesce(F.sum("delta"), F.lit(0)).alias("concurrent"))
 
 
 def expanded(intervals: DataFrame, by: Sequence[str] = ()) -> DataFrame:

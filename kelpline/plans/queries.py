@@ -40,7 +40,8 @@ _RANGE = ("peak", "peak_minute", "integral", "avg_concurrent")
 
 def _range(name: str, start: int, end: int, **filters) -> None:
     where = " AND ".join([f"{k} = '{v}'" if isinstance(v, str) else f"{k} = {v}" for k, v in filters.items()] or ["true"])
-    register(name, lambda m: R.window_range(m.deltas, m.hours, start, end, **filters).select(*_RANGE), peak(start, end, by_minute(where=where)))
+    shown = [c for c in _RANGE if c != "peak_minute" or end - start > 60]  # of one minute the peak's place says nothing
+    register(name, lambda m: R.window_range(m.deltas, m.hours, start, end, **filters).select(*shown), f"SELECT {', '.join(shown)} FROM ({peak(start, end, by_minute(where=where))})")
 
 
 for _name, _start, _end, _filters in (
@@ -64,7 +65,8 @@ def _hour_sql(source: str, where: str, by: str = "", extra: str = "") -> str:
 
 
 def _hour_rows(m: Model, level: int, where: str, *by: str) -> DataFrame:
-    return R.hour_view(m.hours, level).where(where).select(*by, "hour", "peak", "peak_minute", "integral", "avg_concurrent")
+    days = m.hours.where(F.col("day") == DAY) if str(NEXT) not in where.split("AND")[0] else m.hours.where(F.col("day") >= NEXT)
+    return R.hour_view(days, level).where(where).select(*by, "hour", "peak", "peak_minute", "integral", "avg_concurrent")
 
 
 _IN_DAY = f"hour >= {DAY} AND hour < {NEXT}"
@@ -110,7 +112,7 @@ def _top(m: Model, rows: DataFrame, when: str) -> DataFrame:
 _TOP = "SELECT q.content_id, CASE WHEN c.content_id IS NULL THEN '(unknown)' ELSE c.title END AS title, q.peak, q.peak_minute, q.integral FROM ({}) q LEFT JOIN cat c ON c.content_id = q.content_id ORDER BY q.peak DESC, q.content_id LIMIT 10"
 _CONTENT_HOUR = _hour_sql(f"(SELECT *, minute // 3600 * 3600 AS hour FROM {by_minute('content_id')})", f"hour = {HOUR}", "content_id")
 for _name in ("b13_hour_top_content", "s13_hour_top_content"):
-    register(_name, lambda m: _top(m, R.hour_view(m.hours, R.CONTENT).where(F.col("hour") == HOUR), "hour"), _TOP.format(_CONTENT_HOUR))
+    register(_name, lambda m: _top(m, R.hour_view(M.within(m.hours, "hour", HOUR, HOUR + 3600), R.CONTENT), "hour"), _TOP.format(_CONTENT_HOUR))
 register("s04_day_top_content", lambda m: _top(m, R.day_view(m.hours, R.CONTENT).where(F.col("day") == DAY), "day"), _TOP.format(_day_sql("content_id", f"minute >= {DAY} AND minute < {NEXT}")))
 
 _SERIES = f"(SELECT minute, max(c) AS c FROM (SELECT minute, c FROM {by_minute()} UNION ALL SELECT h + 3600 + 60 * i, 0 FROM (SELECT DISTINCT minute // 3600 * 3600 AS h FROM delta), (SELECT unnest(range(0, 60)) AS i) UNION ALL SELECT a.minute, 0 FROM (SELECT DISTINCT minute // 3600 * 3600 AS h, min(minute) AS f FROM delta GROUP BY 1) b, LATERAL (SELECT unnest(range(b.f, b.h + 3600, 60)) AS minute) a) GROUP BY minute)"
@@ -118,6 +120,10 @@ _SERIES = f"(SELECT minute, max(c) AS c FROM (SELECT minute, c FROM {by_minute()
 _IN_HOUR, _ON_DAY = f"minute >= {HOUR} AND minute < {HOUR + 3600}", f"minute >= {DAY} AND minute < {NEXT}"
 
 
+def _day(rows: DataFrame) -> DataFrame:
+    return M.within(rows, "minute", DAY, NEXT)
+
+
 def _dense(start: int, end: int, where: str = "true") -> str:
     return f"SELECT s.minute, CAST(coalesce(l.c, 0) AS BIGINT) AS concurrent FROM (SELECT unnest(range({start}, {end}, 60)) AS minute) s LEFT JOIN {by_minute(where=where)} l ON l.minute = s.minute"
 
@@ -170,10 +176,10 @@ register("v07_orphans", lambda m: C.orphans(m.events, m.catalog), "SELECT count(
 
 # --- peak and average by attribute and set
 for _name, _a in (("s05_day_video_type", "video_type"), ("s06_day_category", "category"), ("s07_day_show_name", "show_name")):
-    register(_name, lambda m, a=_a: R.peak_and_average(C.attribute_levels(m.deltas.where(_ON_DAY), m.catalog, a), 86_400, (a,)), peak(DAY, NEXT, by_minute(_a, "cmins"), _a))
-register("b08_day_video_type_live", lambda m: R.peak_and_average(M.held_curve(m.deltas.where(_ON_DAY).join(m.catalog.where("video_type = 'live'").select("content_id"), "content_id", "left_semi")), 86_400), peak(DAY, NEXT, by_minute("", "cmins", "video_type = 'live'")))
-register("s10_day_platform_video_type", lambda m: R.peak_and_average(M.held_curve(m.deltas.where(f"{_ON_DAY} AND platform = 'p1'").join(m.catalog.where("video_type = 'vod'").select("content_id"), "content_id", "left_semi")), 86_400), peak(DAY, NEXT, by_minute("", "cmins", "platform = 'p1' AND video_type = 'vod'")))
-register("b09_day_platform_in", lambda m: R.peak_and_average(M.held_curve(m.deltas.where(_ON_DAY).where(F.col("platform").isin("p1", "p3"))), 86_400), peak(DAY, NEXT, by_minute(where="platform IN ('p1', 'p3')")))
+    register(_name, lambda m, a=_a: R.peak_and_average(C.attribute_levels(_day(m.deltas), m.catalog, a), 86_400, (a,)), peak(DAY, NEXT, by_minute(_a, "cmins"), _a))
+register("b08_day_video_type_live", lambda m: R.peak_and_average(M.held_curve(_day(m.deltas).join(m.catalog.where("video_type = 'live'").select("content_id"), "content_id", "left_semi")), 86_400), peak(DAY, NEXT, by_minute("", "cmins", "video_type = 'live'")))
+register("s10_day_platform_video_type", lambda m: R.peak_and_average(M.held_curve(_day(m.deltas).where("platform = 'p1'").join(m.catalog.where("video_type = 'vod'").select("content_id"), "content_id", "left_semi")), 86_400), peak(DAY, NEXT, by_minute("", "cmins", "platform = 'p1' AND video_type = 'vod'")))
+register("b09_day_platform_in", lambda m: R.peak_and_average(M.held_curve(_day(m.deltas).where(F.col("platform").isin("p1", "p3"))), 86_400), peak(DAY, NEXT, by_minute(where="platform IN ('p1', 'p3')")))
 register(
     "s08_day_video_resolution",
     lambda m: R.peak_and_average(C.session_minutes(m.intervals, m.catalog).where(_ON_DAY).groupBy("minute", "video_resolution").agg(F.countDistinct("video_session_id").alias("concurrent")).withColumn("next_minute", F.col("minute") + 60), 86_400, ("video_resolution",)),
@@ -185,7 +191,7 @@ _P1_P3 = "platform IN ('p1', 'p3')"
 
 
 def _in_against_parts(m: Model) -> DataFrame:
-    right = R.peak_and_average(M.held_curve(m.deltas.where(_ON_DAY).where(F.col("platform").isin("p1", "p3"))), 86_400).select(F.col("peak").alias("true_peak"))
+    right = R.peak_and_average(M.held_curve(_day(m.deltas).where(F.col("platform").isin("p1", "p3"))), 86_400).select(F.col("peak").alias("true_peak"))
     parts = R.day_view(m.hours, R.PLATFORM).where(F.col("day") == DAY).where(F.col("platform").isin("p1", "p3")).agg(F.max("peak").alias("max_of_peaks"), F.sum("peak").alias("sum_of_peaks"))
     return right.crossJoin(parts)  # one row each
 
@@ -220,14 +226,14 @@ register("v09_users_minute", lambda m: M.user_curve(m.users, KEYS), f"SELECT min
 register("v09_users_total", lambda m: M.user_curve(m.users), f"SELECT minute, {_UC} AS concurrent_users FROM um GROUP BY ALL")
 
 
-def _user_levels(m: Model, where: str, *by: str) -> DataFrame:
-    return M.user_curve(m.users.where(where), by).withColumnRenamed("concurrent_users", "concurrent").withColumn("next_minute", F.col("minute") + 60)
+def _user_levels(m: Model, *by: str) -> DataFrame:
+    return M.user_curve(_day(m.users), by).withColumnRenamed("concurrent_users", "concurrent").withColumn("next_minute", F.col("minute") + 60)
 
 
-register("u01_users_day", lambda m: R.peak_and_average(_user_levels(m, _ON_DAY), 86_400), peak(DAY, NEXT, by_minute("", "um", "true", _UC)))
-register("u02_users_hours", lambda m: R.peak_and_average(_user_levels(m, _ON_DAY).withColumn("hour", M.hour(F.col("minute"))), 3600, ("hour",)), f"SELECT minute // 3600 * 3600 AS hour, max(c) AS peak, CAST(arg_min(minute, (-c, minute)) AS BIGINT) AS peak_minute, CAST(sum(c) * 60 AS BIGINT) AS integral, CAST(sum(c) * 60 AS DOUBLE) / 3600 AS avg_concurrent FROM {by_minute('', 'um', _ON_DAY, _UC)} GROUP BY ALL")
-register("u03_users_curve", lambda m: M.user_curve(m.users.where(_IN_HOUR)), f"SELECT minute, {_UC} AS concurrent_users FROM um WHERE {_IN_HOUR} GROUP BY ALL")
-register("u04_users_platform", lambda m: R.peak_and_average(_user_levels(m, _ON_DAY, "platform"), 86_400, ("platform",)), peak(DAY, NEXT, by_minute("platform", "um", "true", _UC), "platform"))
+register("u01_users_day", lambda m: R.peak_and_average(_user_levels(m), 86_400), peak(DAY, NEXT, by_minute("", "um", "true", _UC)))
+register("u02_users_hours", lambda m: R.peak_and_average(_user_levels(m).withColumn("hour", M.hour(F.col("minute"))), 3600, ("hour",)), f"SELECT minute // 3600 * 3600 AS hour, max(c) AS peak, CAST(arg_min(minute, (-c, minute)) AS BIGINT) AS peak_minute, CAST(sum(c) * 60 AS BIGINT) AS integral, CAST(sum(c) * 60 AS DOUBLE) / 3600 AS avg_concurrent FROM {by_minute('', 'um', _ON_DAY, _UC)} GROUP BY ALL")
+register("u03_users_curve", lambda m: M.user_curve(M.within(m.users, "minute", HOUR, HOUR + 3600)), f"SELECT minute, {_UC} AS concurrent_users FROM um WHERE {_IN_HOUR} GROUP BY ALL")
+register("u04_users_platform", lambda m: R.peak_and_average(_user_levels(m, "platform"), 86_400, ("platform",)), peak(DAY, NEXT, by_minute("platform", "um", "true", _UC), "platform"))
 register("h06_users_and_sessions", lambda m: H.users_and_sessions(M.user_curve(m.users), M.expanded(m.intervals)), f"SELECT u.minute, s.c AS sessions, u.c AS users, s.c - u.c AS gap, CAST(s.c AS DOUBLE) / u.c AS ratio FROM {by_minute('', 'um', 'true', _UC)} u JOIN {by_minute()} s ON s.minute = u.minute")
 
 # --- the model itself
