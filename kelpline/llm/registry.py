@@ -142,5 +142,45 @@ FROM low l LEFT JOIN marked m ON l.doc_id = m.doc_id LEFT JOIN named d ON l.doc_
 """
 
 
+LATTICE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+  SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
+), pairs AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) >= 0.98 * a.norm * b.norm
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, p.y FROM reach r JOIN pairs p ON p.x = r.b
+)
+SELECT v.vec_id, (SELECT count(*) FROM pairs p WHERE p.x = v.vec_id) AS n_links, c.m AS component_id, v.vec_id = c.m AS kept
+FROM v JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) c ON c.a = v.vec_id
+"""
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS s FROM w
+), classes AS (
+  SELECT s, min(doc_id) AS class_id, count(*) AS copies, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), tokens AS (
+  SELECT class_id, copies, n, unnest(s) AS t FROM classes
+), pairs AS (
+  SELECT a.class_id AS x, b.class_id AS y, b.copies AS c FROM tokens a JOIN tokens b ON a.t = b.t AND a.class_id <> b.class_id
+  GROUP BY a.class_id, b.class_id, a.n, b.n, b.copies HAVING count(*) * 5 >= 4 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT class_id AS a, class_id AS b FROM classes UNION SELECT r.a, p.y FROM reach r JOIN pairs p ON p.x = r.b
+), found AS (
+  SELECT c.s, c.class_id, c.copies - 1 + coalesce((SELECT sum(p.c) FROM pairs p WHERE p.x = c.class_id), 0) AS n_links, m.m
+  FROM classes c JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) m ON m.a = c.class_id
+)
+SELECT d.doc_id, coalesce(f.class_id, d.doc_id) AS class_id, CAST(coalesce(f.n_links, 0) AS BIGINT) AS n_links,
+  coalesce(f.m, d.doc_id) AS component_id, d.doc_id = coalesce(f.m, d.doc_id) AS kept
+FROM sets d LEFT JOIN found f ON f.s = d.s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": MIXING_SQL, "op2_decontaminate": DECONTAMINATE_SQL}
+    return {"op3_lattice": LATTICE_SQL, "op8_jaccard_join": JACCARD_SQL, "op1_mixing": MIXING_SQL, "op2_decontaminate": DECONTAMINATE_SQL}
