@@ -15,6 +15,15 @@ from kelpline.llm.storage import materialise
 BLOCK = 1024
 
 
+def _own_exchange(minima: DataFrame) -> DataFrame:
+    """The same rows under a computed key.
+
+    A join right after an aggregation on its key shares the aggregation's exchange, and then a hub's rows
+    stay in one task. With an exchange of its own for either side the join can be split where it is skewed.
+    """
+    return minima.withColumn("u", F.col("u").bitwiseXOR(F.lit(0).cast("long")))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (u, v): root is the least node that can be reached.
 
@@ -28,9 +37,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m"))
+        least = _own_exchange(both.groupBy("u").agg(F.min("v").alias("_m"))).select("u", F.least("u", "_m").alias("_m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("_m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("_m"))
+        least = _own_exchange(large.groupBy("u").agg(F.min("v").alias("_m")))
         small = large.join(least, "u").where("v <> _m").select(F.col("v").alias("u"), F.col("_m").alias("v"))
         pairs = materialise(small.unionByName(least.select("u", F.col("_m").alias("v"))).distinct(), "components")
         sign = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
