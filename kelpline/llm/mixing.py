@@ -75,14 +75,12 @@ def mix_sources(df: DataFrame, *, weights: Sequence[float] = (1, 2, 3), cap: flo
 def mixed_documents(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` as the mix emits them: each as often as ``mix_sources`` takes it, with its columns and ``copy``.
 
-    ``options`` are those of ``mix_sources``. Rows that share an id (or have none) are told apart by source
-    and size, and equal ones share their copies' sum evenly enough to keep each source's target.
+    ``options`` are those of ``mix_sources``. Rows that agree in id, source and size share their copies evenly, rounded.
     """
     key, text, source = (options.get(k, d) for k, d in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
-    taken = mix_sources(df, **options)
-    per = taken.groupBy("doc_id", "source", "size").agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
+    per = mix_sources(df, **options).groupBy("doc_id", "source", "size").agg(F.round(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("_copies"))
+    per = per.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_sized"), "_copies")
     sized = df.withColumn("_size", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
-    per = per.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_sized"), F.array_max("_copies").alias("_most"), (F.size("_copies") > 1).alias("_shared"), F.aggregate("_copies", F.lit(0).cast("long"), lambda a, b: a + b).alias("_sum"), F.size("_copies").alias("_rows"))
     joined = sized.join(per, sized[key].eqNullSafe(F.col("_id")) & sized[source].eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_sized")))
-    share = F.when(F.col("_shared"), F.round(F.col("_sum") / F.col("_rows"))).otherwise(F.col("_most")).cast("int")
+    share = F.col("_copies")
     return joined.withColumn("copy", F.explode(F.when(share > 0, F.sequence(F.lit(1), share)))).select(*[sized[c] for c in df.columns], "copy")

@@ -6,30 +6,19 @@ written as Parquet below ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_WRITTEN: list[str] = []
-_LOCAL: dict[str, str] = {}
-
+from kelpline.sources.workspace import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a fresh local one only if the session names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = tempfile.mkdtemp(prefix="kelpline-")
-    return _LOCAL[app]
+_WRITTEN: list[str] = []
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a reader of the written table: recovery re-reads it, it never recomputes."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/kelpline/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/kelpline/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -39,7 +28,7 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """As ``materialise``, bucketed by ``key`` so that joins on it read the table where it lies."""
     spark = df.sparkSession
     table = f"kelpline_{name}_{uuid.uuid4().hex}"
-    path = f"{shared_dir(spark).rstrip('/')}/kelpline/{table}"
+    path = f"{shared_dir(spark)}/kelpline/{table}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
     _WRITTEN.append(path)
