@@ -29,15 +29,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of linked ones (five words, similarity 0.8).
+    """Exactly one row of each group of linked ones (five words, similarity 0.8): that of smallest id, none last.
 
-    Rows that share an id with the one that stays are told from it by their text; of equal rows one stays.
-    Rows without an id stay.
+    Rows that share an id are told apart by their text, and rows without an id are rows as all others; of
+    equal rows one stays, the least in its other columns. Rows without words link only with those equal to them.
     """
-    links = jaccard_join.jaccard_links(docs)
-    stays = links.where("kept and doc_id is not null").select("doc_id").distinct()
-    unnamed = docs.where("doc_id is null")
-    return docs.join(stays, "doc_id", "left_semi").select(*COLUMNS).unionByName(unnamed.select(*COLUMNS))
+    stays = materialise(jaccard_join.one_per_component(docs), "pipeline-stays")
+    rows = docs.select(F.xxhash64("text").alias("_hash"), *COLUMNS)
+    same = (F.col("_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    single = rows.join(stays.where("copies = 1"), same, "left_semi").select(*COLUMNS)
+    # Grouped by a computed key, so that equal rows are reduced where they lie before they meet.
+    equal = rows.join(stays.where("copies > 1"), same).groupBy(F.col("hash").bitwiseXOR(F.lit(0).cast("long")).alias("_h"), F.struct("id").alias("_i"))
+    return single.unionByName(equal.agg(F.min(F.struct(*COLUMNS)).alias("_d")).select("_d.*"))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -177,23 +177,8 @@ def _exact_links(similarity: float):
     return work
 
 
-def jaccard_links(df: DataFrame, *, similarity: float = 0.8, width: int = 5, runs: int = RUNS, bucket: int = BUCKET, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, n_links, component_id and kept of every row.
-
-    A document's set are its runs of ``width`` words (A-Z as a-z, punctuation aside); two documents are
-    linked if the Jaccard similarity of their sets is at least ``similarity``. Documents with the same
-    set are one class: class_id is its smallest doc_id, and the join below works on classes. n_links
-    counts the other documents linked directly, component_id is the smallest doc_id reachable by
-    links, kept says that it is the document's own.
-
-    ``candidate_links`` gathers the sets into candidate groups; then each set of a group travels once,
-    and all pairs of the group are compared exactly, large groups in pairs of blocks. So a link is
-    found if its two sets hang together in any way, and none below ``similarity`` is reported.
-
-    A text of fewer than ``width`` words is one shingle of all its words; one without words, or null,
-    links with nothing. Null ids count as links but name no class or component unless it has no other
-    id. Equal rows are separate documents with the same id. Columns that are not named are ignored.
-    """
+def _labelled(df: DataFrame, similarity: float, width: int, runs: int, bucket: int, depth: int, id_col: str, text_col: str) -> DataFrame:
+    """Every row's doc_id, row and name, with class_id, n_links, component_id and root, which are null for rows without words."""
     docs = materialise(shingle_sets(df, width, id_col, text_col), "jaccard-documents")
     named = docs.where(F.col("name").isNotNull())
     classes = named.groupBy("name").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.min("row").alias("first"), F.min(F.struct("n", "tokens")).alias("_s"))
@@ -219,7 +204,40 @@ def jaccard_links(df: DataFrame, *, similarity: float = 0.8, width: int = 5, run
     about = classes.select("name", "class_id", "copies", "did").join(counts, "did", "left").join(components.withColumnRenamed("node", "did"), "did", "left")
     about = about.select("name", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "did").alias("root"))
     least = about.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    about = about.join(least, "root").select("name", "class_id", "n_links", "component_id")
-    rows = docs.select("doc_id", "name").join(about, "name", "left")
+    about = about.join(least, "root").select("name", "class_id", "n_links", "component_id", "root")
+    return docs.select("doc_id", "row", "name").join(about, "name", "left")
+
+
+def jaccard_links(df: DataFrame, *, similarity: float = 0.8, width: int = 5, runs: int = RUNS, bucket: int = BUCKET, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id, n_links, component_id and kept of every row.
+
+    A document's set are its runs of ``width`` words (A-Z as a-z, punctuation aside); two documents are
+    linked if the Jaccard similarity of their sets is at least ``similarity``. Documents with the same
+    set are one class: class_id is its smallest doc_id, and the join below works on classes. n_links
+    counts the other documents linked directly, component_id is the smallest doc_id reachable by
+    links, kept says that it is the document's own.
+
+    ``candidate_links`` gathers the sets into candidate groups; then each set of a group travels once,
+    and all pairs of the group are compared exactly, large groups in pairs of blocks. So a link is
+    found if its two sets hang together in any way, and none below ``similarity`` is reported.
+
+    A text of fewer than ``width`` words is one shingle of all its words; one without words, or null,
+    links with nothing. Null ids count as links but name no class or component unless it has no other
+    id. Equal rows are separate documents with the same id. Columns that are not named are ignored.
+    """
+    rows = _labelled(df, similarity, width, runs, bucket, depth, id_col, text_col)
     out = rows.select("doc_id", F.when(F.col("name").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("name").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_per_component(df: DataFrame, *, similarity: float = 0.8, width: int = 5, runs: int = RUNS, bucket: int = BUCKET, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(hash, id, copies) of the row that stays of each component: of smallest id, then of smallest text hash.
+
+    Rows without an id are members as all others and stay only where no member has one. ``hash`` is xxhash64
+    of the text; ``copies`` counts the rows that agree in both, as they can't be told apart here. A row
+    without words is a component of its own, with the rows equal to it.
+    """
+    each = _labelled(df, similarity, width, runs, bucket, depth, id_col, text_col).groupBy("root", "row").agg(F.count(F.lit(1)).alias("copies"))
+    each = each.select("root", F.col("row.hash").alias("hash"), F.col("row.id").alias("id"), "copies")
+    first = each.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("_unnamed"), "id", "hash", "copies")).alias("_r"))
+    return first.select("_r.hash", "_r.id", "_r.copies").unionByName(each.where("root is null").select("hash", "id", "copies"))
