@@ -39,6 +39,23 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], cap: float) -> Da
     return final.select("source", "source_size", F.least(F.col("_cap"), F.col("_final._level") * F.col("_weight")).alias("target"))
 
 
+def _with_copies(slim: DataFrame, weights: Sequence[float], cap: float, seed: int, ties: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``slim`` (doc_id, source, size, ties) with source_size, target and copies; ``ties`` order rows that agree in the rest."""
+    order = ["source", "size", "doc_id", *ties]
+    dealt = slim.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialise(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "mix-order")
+    parts = placed.groupBy("_part", "source").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_part", F.col("source").alias("_source"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap).withColumnRenamed("source", "_name")
+    starts = starts.join(targets, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name").withColumnRenamed("_part", "_of")
+    rows = placed.join(starts, (F.col("_part") == F.col("_of")) & F.col("source").eqNullSafe(F.col("_source")))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rank, shift = (F.col("_at") + F.col("_shift")).cast("double"), offset_of(F.col("source"), seed)
+    copies = F.floor((rank + 1) * F.col("_rate") + F.col("_offset")) - F.floor(rank * F.col("_rate") + F.col("_offset"))
+    return rows.withColumn("_rate", rate).withColumn("_offset", shift).withColumn("copies", copies)
+
+
 def mix_sources(df: DataFrame, *, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken (copies x size) of every row.
 
@@ -55,32 +72,20 @@ def mix_sources(df: DataFrame, *, weights: Sequence[float] = (1, 2, 3), cap: flo
     its own; equal rows are separate rows; an empty table gives an empty result; other columns are ignored.
     """
     slim = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    slim = materialise(slim, "mix-sizes")
-    order = ["source", "size", "doc_id"]
-    dealt = slim.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = materialise(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "mix-order")
-    parts = placed.groupBy("_part", "source").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("_part", F.col("source").alias("_source"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
-    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap).withColumnRenamed("source", "_name")
-    starts = starts.join(targets, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name").withColumnRenamed("_part", "_of")
-    rows = placed.join(starts, (F.col("_part") == F.col("_of")) & F.col("source").eqNullSafe(F.col("_source")))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rank, shift = (F.col("_at") + F.col("_shift")).cast("double"), offset_of(F.col("source"), seed)
-    copies = F.floor((rank + 1) * F.col("_rate") + F.col("_offset")) - F.floor(rank * F.col("_rate") + F.col("_offset"))
-    rows = rows.withColumn("_rate", rate).withColumn("_offset", shift).withColumn("copies", copies)
+    rows = _with_copies(materialise(slim, "mix-sizes"), weights, cap, seed)
     return rows.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def mixed_documents(df: DataFrame, **options) -> DataFrame:
+def mixed_documents(df: DataFrame, *, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``df`` as the mix emits them: each as often as ``mix_sources`` takes it, with its columns and ``copy``.
 
-    ``options`` are those of ``mix_sources``. Rows that agree in id, source and size share their copies evenly, rounded.
+    Every row is written once with a number of its own and emitted by its own crossings, so equal rows and
+    rows without an id keep their source's target too. Rows that agree in source, size and id go by text,
+    then by number, which also lets the ranges divide them.
     """
-    key, text, source = (options.get(k, d) for k, d in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
-    per = mix_sources(df, **options).groupBy("doc_id", "source", "size").agg(F.round(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("_copies"))
-    per = per.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_sized"), "_copies")
-    sized = df.withColumn("_size", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
-    joined = sized.join(per, sized[key].eqNullSafe(F.col("_id")) & sized[source].eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("_sized")))
-    share = F.col("_copies")
-    return joined.withColumn("copy", F.explode(F.when(share > 0, F.sequence(F.lit(1), share)))).select(*[sized[c] for c in df.columns], "copy")
+    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+    numbered = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.xxhash64(text_col).alias("hash"), F.struct(*df.columns).alias("doc"))
+    numbered = materialise(numbered, "mix-documents")
+    taken = _with_copies(numbered.select("row", "doc_id", "source", "size", "hash"), weights, cap, seed, ("hash", "row")).where("copies > 0").select("row", F.col("copies").cast("int").alias("copies"))
+    joined = numbered.select("row", "doc").join(taken, "row")
+    return joined.select("doc.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))

@@ -68,3 +68,22 @@ def test_mix_meets_targets(docs):
 def test_mix_of_nothing(docs):
     assert mix_sources(docs([])).count() == 0
     assert mix_sources(docs([(1, None, "en", "a"), (2, "", "en", None)])).agg({"taken": "sum"}).first()[0] == 0
+
+
+def test_large_groups_are_emitted_by_their_own_crossings(docs):
+    """Equal rows and null ids of one size, at rates that rounding a group's mean would turn into none or all."""
+    rows = [(7, "five words in each row", "en", "a")] * 500 + [(None, f"four words in {i}", "en", "a") for i in range(500)]
+    rows += [(i, "five words in each row", "en", "b") for i in range(700)] + [(None, "five words in each row", "en", "c")] * 500
+    df = docs(rows)
+    copies: dict = {}
+    for r in mix_sources(df).collect():
+        assert r.copies >= 0
+        copies[r.source, r.doc_id if r.source == "a" else 0] = copies.get((r.source, r.doc_id if r.source == "a" else 0), 0) + r.copies
+    assert 0.2 < copies["a", 7] / 500 < 0.45 and 0.2 < copies["a", None] / 500 < 0.45
+    out = mixed_documents(df).collect()
+    found: dict = {}
+    for r in out:
+        found[r.source, r.doc_id if r.source == "a" else 0] = found.get((r.source, r.doc_id if r.source == "a" else 0), 0) + 1
+    assert found == copies and len(out) == sum(copies.values())
+    texts = [r.text for r in out if r.source == "a" and r.doc_id is None]
+    assert len(set(texts)) == len(texts)
