@@ -298,6 +298,11 @@ register("pf01_model_input", lambda m: H.model_input(_hostile(m)).groupBy("event
 register("v19_flags", lambda m: H.flag_counts(m.events.withColumn("user_id", F.when(F.col("content_id") == 3, "").otherwise(F.col("user_id"))).withColumn("session_start_s", F.when(F.col("content_id") == 4, F.col("ts_s") + 9).otherwise(F.col("session_start_s")))), "SELECT flag, count(*) AS rows, count(DISTINCT sid) AS sessions, min(ts_s) AS first_seen, max(ts_s) AS last_seen FROM (SELECT 'user_id_empty' AS flag, * FROM ev WHERE content_id = 3 UNION ALL SELECT 'event_before_session_start', * FROM ev WHERE content_id = 4) GROUP BY flag")
 register("v19_summary", lambda m: H.preprocess_summary(_hostile(m)), f"SELECT count(*) AS raw_rows, count(*) FILTER (WHERE {_REASON} <> '') AS quarantined_rows, count(*) FILTER (WHERE {_REASON} = '') AS model_input_rows, CAST(0 AS BIGINT) AS flag_classes_present FROM {_HOSTILE}")
 register("h04_contract", lambda m: H.contract_report(m.events, m.catalog).where("probe in ('rows', 'sessions', 'pauses', 'resumes', 'session_ends', 'content_without_catalog', 'audio_language_unknown', 'ts_out_of_range', 'empty_source')"), "SELECT probe, severity, value, CASE WHEN severity = 'WARN' AND value > 0 THEN 'WARN' ELSE 'OK' END AS verdict FROM (SELECT 'rows' AS probe, 'INFO' AS severity, count(*) AS value FROM ev UNION ALL SELECT 'sessions', 'INFO', count(DISTINCT sid) FROM ev UNION ALL SELECT 'pauses', 'INFO', count(*) FROM ev WHERE event = 'pause' UNION ALL SELECT 'resumes', 'INFO', count(*) FROM ev WHERE event = 'resume' UNION ALL SELECT 'session_ends', 'INFO', count(*) FROM ev WHERE event_type = 'VideoSessionEnd' UNION ALL SELECT 'content_without_catalog', 'WARN', count(DISTINCT content_id) FROM ev WHERE content_id NOT IN (SELECT content_id FROM cat) UNION ALL SELECT 'audio_language_unknown', 'INFO', 0 UNION ALL SELECT 'ts_out_of_range', 'FAIL', 0 UNION ALL SELECT 'empty_source', 'FAIL', 0)")
+#: The same operators over all minutes and probes, without SQL; tests hold them against brute force.
+register("m13_session_minutes_whole", lambda m: C.session_minutes(m.intervals, m.catalog).select(*_DRILL), None)
+register("v16_dimension_values_whole", lambda m: C.dimension_values(C.session_minutes(m.intervals, m.catalog)), None)
+register("v16_content_values_whole", lambda m: C.content_dimension_values(C.session_minutes(m.intervals, m.catalog)), None)
+register("h04_contract_whole", lambda m: H.contract_report(m.events, m.catalog), None)
 _COUNTS = "SELECT ts_s // 60 * 60 AS minute, count(*) FILTER (WHERE event_type = 'VideoSessionEnd') AS ends, count(*) FILTER (WHERE event_type = 'VideoSessionStart') AS starts, count(*) FILTER (WHERE event_type = 'VideoHeartbeat') AS hb, count(*) FILTER (WHERE event = 'pause' OR event_type = 'AppBackgrounded') AS pausebg FROM ev GROUP BY ALL"
 register("h03_minute_counts", lambda m: H.minute_event_counts(m.events), _COUNTS)
 
