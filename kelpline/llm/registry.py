@@ -15,6 +15,8 @@ from kelpline.llm import decontaminate, jaccard_join, language, lattice, license
 
 _ROOT = Path(__file__).resolve().parents[2]
 _SHIPPED: set[str] = set()
+#: For the registered query and pipeline where the session sets no key; not for data that need one.
+PUBLIC_KEY = "public key of the registered query"
 
 
 def ship(spark: SparkSession) -> None:
@@ -68,8 +70,9 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Under the session's key, or one that is public: without a secret key the query's pseudonyms can be undone by anybody."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, count_col="n_replaced")
+    return pii.pseudonymise(docs, key=spark.conf.get(pii.KEY_SETTING, PUBLIC_KEY), count_col="n_replaced")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
