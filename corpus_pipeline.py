@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.llm import decontaminate, jaccard_join, language, mixing, pii
-from kelpline.llm.registry import table
+from kelpline.llm.registry import PUBLIC_KEY, table
 from kelpline.llm.storage import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -50,8 +50,8 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with pseudonyms for personal data; n_chars follows the text."""
-    done = pii.pseudonymise(docs.select(*COLUMNS))
+    """All documents, with pseudonyms for personal data under the session's key (a public one if it sets none); n_chars follows the text."""
+    done = pii.pseudonymise(docs.select(*COLUMNS), key=spark.conf.get(pii.KEY_SETTING, PUBLIC_KEY))
     return done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
 
 
