@@ -1,4 +1,4 @@
-"""Groups of any size: connected components, groups dealt over block pairs, and groups streamed through Arrow."""
+"""Groups of any size: connected components, buckets dealt over block pairs, and groups streamed through Arrow."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from kelpline.llm.storage import materialise
 
-#: Members of a block; a group of more is compared block by block, each pair of blocks in its own place.
-BLOCK = 1024
+#: A bucket is compared block by block, each pair of blocks in its own place, if it has more members or more values than these.
+BLOCK, BLOCK_VALUES = 1024, 1 << 21
 
 
 def _own_exchange(minima: DataFrame) -> DataFrame:
@@ -21,7 +21,11 @@ def _own_exchange(minima: DataFrame) -> DataFrame:
     A join right after an aggregation on its key shares the aggregation's exchange, and then a hub's rows
     stay in one task. With an exchange of its own for either side the join can be split where it is skewed.
     """
-    return minima.withColumn("u", F.col("u").bitwiseXOR(F.lit(0).cast("long")))
+    return _rekeyed(minima, "u")
+
+
+def _rekeyed(rows: DataFrame, key: str) -> DataFrame:
+    return rows.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -50,26 +54,93 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def in_blocks(rows: DataFrame, member: str, block: int = BLOCK) -> DataFrame:
-    """Rows of groups of _n with _blocks and _own instead: how many blocks their group is cut into, and the member's."""
-    rows = rows.withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int")).drop("_n")
-    return rows.withColumn("_own", F.pmod(F.xxhash64(member, F.lit(3)), F.col("_blocks").cast("long")).cast("int"))
+def shared(rows: DataFrame) -> DataFrame:
+    """Rows (path, did, n, ...) of the paths that at least two have, with _n members and _w, the sum of their n."""
+    sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("n").cast("long")).alias("_w")).where("_n > 1")
+    return rows.join(_rekeyed(sizes, "path"), "path")
+
+
+def gathered(ready: DataFrame, about: DataFrame) -> DataFrame:
+    """Rows (path, _i, _j, _own, did, paths, columns of ``about``) of the members of all buckets.
+
+    ``ready`` are rows of ``shared``, ``about`` has one row a did. ``paths`` are all buckets of the member, whose
+    number is bounded by the method. A bucket of one block is one place (0, 0); the blocks of a larger one go
+    to all their pairs, so no task holds more than about two blocks, and every two members meet in exactly
+    one place, that of their own blocks.
+    """
+    blocks = F.greatest(F.ceil(F.col("_n") / BLOCK), F.ceil(F.col("_w") / BLOCK_VALUES)).cast("int")
+    rows = ready.select("path", "did", F.least(blocks, F.col("_n").cast("int")).alias("_blocks"))
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64("did", F.lit(3)), F.col("_blocks").cast("long")).cast("int"))
+    lists = rows.groupBy("did").agg(F.collect_list(F.struct("path", "_blocks", "_own")).alias("_p")).join(about, "did")
+    each = lists.select("did", *[c for c in about.columns if c != "did"], F.transform("_p", lambda x: x["path"]).alias("paths"), F.explode("_p").alias("_k"))
+    rows = each.select("_k.*", *[c for c in each.columns if c != "_k"]).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    return rows.withColumn("_i", F.least("_own", "_other")).withColumn("_j", F.greatest("_own", "_other")).drop("_blocks", "_other")
 
 
-def placed(df: DataFrame, key: str, member: str, block: int = BLOCK) -> DataFrame:
-    """Rows of ``df`` whose ``key`` has at least two, as ``in_blocks`` gives them."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return in_blocks(df.join(sizes, key), member, block)
+PLACE = ["path", "_i", "_j"]
 
 
-def dealt(rows: DataFrame) -> DataFrame:
-    """Rows of ``placed`` with _i and _j: each pair of blocks that the member's block is part of.
+def decided_here(table: pa.Table) -> np.ndarray:
+    """Which pairs of the rows at one place are decided there.
 
-    A group of one block is one pair (0, 0). The blocks of a larger one go to all their pairs, so no task
-    holds more than about two blocks, and every two members meet in exactly one pair, that of their own.
+    Two members may share many buckets; the one of the least path decides, so that a pair is compared
+    and counted once, wherever else it meets. Of two blocks only pairs across them are.
     """
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return rows.withColumn("_i", F.least("_own", "_other")).withColumn("_j", F.greatest("_own", "_other")).drop("_blocks", "_other")
+    lists = table.column("paths").combine_chunks()
+    at, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+    n = len(at) - 1
+    owner = np.repeat(np.arange(n), np.diff(at))
+    early = flat < table.column("path")[0].as_py()
+    term, owner = flat[early], owner[early]
+    _, term, times = np.unique(term, return_inverse=True, return_counts=True)
+    again = times > 1
+    rank = np.cumsum(again) - 1
+    on = again[term]
+    term, owner = rank[term[on]], owner[on]
+    order = np.argsort(term, kind="stable")
+    term, owner = term[order], owner[order]
+    met = np.zeros((n, n), bool)
+    for lo in range(0, int(again.sum()), 4096):
+        a, b = np.searchsorted(term, (lo, lo + 4096))
+        part = np.zeros((n, min(4096, int(again.sum()) - lo)), np.float32)
+        part[owner[a:b], term[a:b] - lo] = 1
+        met |= part @ part.T > 0
+    i, j, own = table.column("_i")[0].as_py(), table.column("_j")[0].as_py(), table.column("_own").to_numpy()
+    here = ~np.eye(n, dtype=bool) if i == j else own[:, None] != own[None, :]
+    return here & ~met
+
+
+def alike_pairs(table: pa.Table, alike: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> pa.RecordBatch | None:
+    """Rows (PLACE, _own, did, paths) of a place that have a partner there which looks alike, among the pairs decided there."""
+    x, y = np.nonzero(np.triu(decided_here(table)))
+    seen = np.zeros(table.num_rows, bool)
+    for lo in range(0, len(x), 1 << 16):
+        a, b = x[lo : lo + (1 << 16)], y[lo : lo + (1 << 16)]
+        on = alike(a, b)
+        seen[a[on]] = seen[b[on]] = True
+    if not seen.any():
+        return None
+    return table.select([*PLACE, "_own", "did", "paths"]).take(pa.array(np.flatnonzero(seen))).combine_chunks().to_batches()[0]
+
+
+ALIKE_SCHEMA = "path long, _i int, _j int, _own int, did long, paths array<long>"
+
+
+def with_places(wanted: DataFrame) -> DataFrame:
+    """(did, paths, places) of rows of ``alike_pairs``: where each member is to be compared exactly."""
+    return wanted.groupBy("did").agg(F.first("paths").alias("paths"), F.collect_list(F.struct(*PLACE, "_own")).alias("places"))
+
+
+def at_places(rows: DataFrame) -> DataFrame:
+    """Rows of ``with_places``, whatever else they carry, one for each place."""
+    rest = [c for c in rows.columns if c != "places"]
+    return rows.select(*rest, F.explode("places").alias("_k")).select("_k.*", *rest)
+
+
+def links_of(table: pa.Table, linked: np.ndarray) -> pa.RecordBatch:
+    """(did, links, hangs) of a symmetric matrix of links: rows of the table linked to each, and the least one it hangs with."""
+    did, copies = table.column("did").to_numpy(), table.column("copies").to_numpy().astype(np.float64)
+    return pa.RecordBatch.from_arrays([pa.array(did), pa.array((linked @ copies).astype(np.int64)), pa.array(did[least_labels(linked)])], names=["did", "links", "hangs"])
 
 
 def streamed(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
@@ -114,10 +185,3 @@ def least_labels(linked: np.ndarray) -> np.ndarray:
         if (new == labels).all():
             return labels
         labels = new
-
-
-def pair_mask(i: int, j: int, own: np.ndarray) -> np.ndarray:
-    """Which pairs of a group's rows are compared at the block pair (i, j)."""
-    if i == j:
-        return ~np.eye(len(own), dtype=bool)
-    return own[:, None] != own[None, :]

@@ -48,7 +48,7 @@ def test_contamination_against_brute_force(spark, docs, words, index_bytes):
     assert not contamination_report(find_contamination(docs(rows), bench.limit(0))).where("contaminated").count()
 
 
-def _brute_links(rows, words):
+def _brute_links(rows, words, percent=80):
     sets = []
     for _, t, *_ in rows:
         w = words(t)
@@ -63,7 +63,7 @@ def _brute_links(rows, words):
     for a in range(len(rows)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if both and both * 5 >= 4 * (len(sets[a]) + len(sets[b]) - both):
+            if both and both * 100 >= percent * (len(sets[a]) + len(sets[b]) - both):
                 links[a] += 1
                 links[b] += 1
                 x, y = root(a), root(b)
@@ -93,6 +93,50 @@ def test_jaccard_links_against_brute_force(docs, words):
     assert jaccard_links(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_isolated_pairs_are_found_at_any_similarity(docs, words, percent):
+    """Pairs just above and just below the threshold, of long and short texts, each linked with nothing else."""
+    rng = random.Random(percent)
+    rows = []
+    for k in range(150):
+        n = rng.choice([25, 60, 200])
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        # a changed tail of c words leaves n - 4 - c of n - 4 shingles: Jaccard (n - 4 - c) / (n - 4 + c)
+        c = round((n - 4) * (100 - percent) / (100 + percent)) + rng.choice([-1, -1, 0, 1])
+        rows += [(2 * k, " ".join(base), "en", "s"), (2 * k + 1, " ".join(base[: n - c] + [f"x{rng.randrange(10**6)}" for _ in range(c)]) if c > 0 else " ".join(base), "en", "s")]
+    got = collections.Counter((r.doc_id, r.n_links, r.component_id) for r in jaccard_links(docs(rows), similarity=percent / 100).collect())
+    want = _brute_links(rows, words, percent)
+    linked = sum(links for (_, links, _), _ in want.items())
+    assert linked > 60 and not [x for x in got if x[1] > max(y[1] for y in want if y[0] == x[0])]
+    assert sum(links for (_, links, _), _ in got.items()) >= 0.99 * linked
+
+
+def test_runs_follow_the_recall():
+    from kelpline.llm.jaccard_join import runs_for
+
+    assert runs_for(0.8, 0.999, 3) > runs_for(0.8, 0.9, 3) and runs_for(0.5, 0.999, 3) > runs_for(0.8, 0.999, 3) > runs_for(0.8, 0.999, 1)
+
+
+def test_large_groups_and_long_texts_are_compared_in_blocks(docs, words, monkeypatch):
+    """More near copies than a block holds, a text of more shingles than a block holds, and equal rows."""
+    from kelpline.llm import groups
+
+    monkeypatch.setattr(groups, "BLOCK", 40)
+    monkeypatch.setattr(groups, "BLOCK_VALUES", 4000)
+    rng = random.Random(11)
+    base = _prose(rng, 80, 5000).split()
+    rows = []
+    for k in range(230):
+        x = list(base)
+        for _ in range(rng.randrange(3)):
+            x[rng.randrange(len(x))] = f"e{rng.randrange(9999)}"
+        rows.append((k, " ".join(x), "en", "s"))
+    long = _prose(rng, 30_000, 10**6)
+    rows += [(1000, long, "en", "s"), (1001, long + " and more", "en", "s"), (1002, long[100:], "en", "s"), (1002, long[100:], "en", "s"), (None, rows[0][1], "en", "s")] + [(7000, rows[3][1], "en", "s")] * 50
+    got = collections.Counter((r.doc_id, r.n_links, r.component_id) for r in jaccard_links(docs(rows), bucket=8).collect())
+    assert got == _brute_links(rows, words)
+
+
 def _brute_repeats(texts, length):
     raw = [(t or "").encode() for t in texts]
     seen = collections.Counter(t[k : k + length] for t in raw for k in range(len(t) - length + 1))
@@ -128,17 +172,8 @@ def test_repeats_against_brute_force(docs, hot):
         assert remove_repeats(docs([])).count() == 0
 
 
-def test_vectors_against_brute_force(spark):
-    rng = np.random.default_rng(2)
-    rows = []
-    for k in range(150):
-        x = rng.standard_normal(64)
-        for j in range(rng.integers(1, 5)):
-            y = x + rng.standard_normal(64) * rng.choice([0.0, 0.05, 0.15, 0.2])
-            rows.append((len(rows), [float(np.float32(v)) for v in y * rng.choice([1.0, 3.0])], int(k % 3)))
-    odd = [(9000, None, 1), (9001, [0.0] * 64, 1), (9002, [float("nan")] + [1.0] * 63, 1), (9003, [float("inf")] + [1.0] * 63, 1), (9004, [None] + [1.0] * 63, 1), (9005, rows[0][1], None), (9006, [1.0, 2.0], 1), (9007, [2.0, 4.0], 1), (9008, [], 1), (9009, rows[1][1], rows[1][2]), (9009, rows[1][1], rows[1][2])]
-    df = spark.createDataFrame([(*r, 5, "x") for r in rows + odd], "vec_id long, embedding array<float>, label int, copies long, name string")
-    good = [r for r in rows + odd if r[1] and None not in r[1] and r[2] is not None and np.isfinite(r[1]).all() and any(r[1])]
+def _brute_vectors(rows):
+    good = [r for r in rows if r[1] and None not in r[1] and r[2] is not None and np.isfinite(r[1]).all() and any(r[1])]
     links, parent = [0] * len(good), list(range(len(good)))
 
     def root(x):
@@ -158,10 +193,65 @@ def test_vectors_against_brute_force(spark):
     for k, r in enumerate(good):
         least[root(k)] = min(r[0], least.get(root(k), r[0]))
     want = collections.Counter((r[0], links[k], least[root(k)]) for k, r in enumerate(good))
-    want.update((r[0], 0, r[0]) for r in odd if not any(r is g for g in good))
-    got = collections.Counter((r.vec_id, r.n_links, r.component_id) for r in near_vectors(df).collect())
-    assert got == want
+    want.update((r[0], 0, r[0]) for r in rows if not any(r is g for g in good))
+    return want
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame([(*r, 5, "x", "y") for r in rows], "vec_id long, embedding array<float>, label int, copies long, name string, path string")
+
+
+def _linked(df):
+    return collections.Counter((r.vec_id, r.n_links, r.component_id) for r in df.collect())
+
+
+def test_vectors_against_brute_force(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(150):
+        x = rng.standard_normal(64)
+        for j in range(rng.integers(1, 5)):
+            y = x + rng.standard_normal(64) * rng.choice([0.0, 0.05, 0.15, 0.2])
+            rows.append((len(rows), [float(np.float32(v)) for v in y * rng.choice([1.0, 3.0, 1e-30, 1e30])], int(k % 3)))
+    rows += [(9000, None, 1), (9001, [0.0] * 64, 1), (9002, [float("nan")] + [1.0] * 63, 1), (9003, [float("inf")] + [1.0] * 63, 1), (9004, [None] + [1.0] * 63, 1), (9005, rows[0][1], None), (9006, [1.0, 2.0], 1), (9007, [2.0, 4.0], 1), (9008, [], 1), (9009, rows[1][1], rows[1][2]), (9009, rows[1][1], rows[1][2])]
+    df = _vectors(spark, rows)
+    assert _linked(near_vectors(df)) == _brute_vectors(rows)
     assert near_vectors(df.limit(0)).count() == 0
+    unnamed = near_vectors(_vectors(spark, [(None, [1.0, 2.0], 1), (None, [1.0, 2.0], 1), (4, [2.0, 4.1], 1)])).collect()
+    assert sorted((str(r.vec_id), r.n_links, r.component_id) for r in unnamed) == [("4", 2, 4), ("None", 2, 4), ("None", 2, 4)]
+
+
+@pytest.mark.parametrize(("dim", "one_large"), [(4, False), (16, False), (64, False), (768, False), (2048, True)])
+def test_isolated_vectors_are_found_in_any_dimension(spark, dim, one_large):
+    """Pairs at cosine 0.9801 each, also where one component dwarfs all others."""
+    rng = np.random.default_rng(dim)
+    rows = []
+    for k in range(120):
+        x, e = rng.standard_normal((2, dim))
+        if one_large:
+            x[0] = 40 * np.sqrt(dim)
+        x /= np.linalg.norm(x)
+        e -= (e @ x) * x
+        e /= np.linalg.norm(e)
+        rows += [(2 * k, x.astype(np.float32).tolist(), k if one_large or dim < 16 else 0), (2 * k + 1, (0.9801 * x + np.sqrt(1 - 0.9801**2) * e).astype(np.float32).tolist(), k if one_large or dim < 16 else 0)]
+    assert _linked(near_vectors(_vectors(spark, rows))) == _brute_vectors(rows)
+
+
+def test_crowded_cells_are_split_and_compared_in_blocks(spark, monkeypatch):
+    from kelpline.llm import groups
+
+    monkeypatch.setattr(groups, "BLOCK", 40)
+    rng = np.random.default_rng(6)
+    rows = []
+    for noise, n in ((0.012, 150), (0.02, 100), (0.3, 150)):
+        x = rng.standard_normal(64)
+        x /= np.linalg.norm(x)
+        rows += [(len(rows) + k, (x + rng.standard_normal(64) * noise).astype(np.float32).tolist(), 1) for k in range(n)]
+    df = _vectors(spark, rows)
+    want = _brute_vectors(rows)
+    assert _linked(near_vectors(df)) == want
+    got = _linked(near_vectors(df, crowd=16))
+    assert sum(x[1] for x in got) >= 0.995 * sum(x[1] for x in want)
 
 
 def test_licenses_are_found_wherever_they_stand(docs, words):
