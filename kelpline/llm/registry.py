@@ -185,5 +185,30 @@ FROM sets d LEFT JOIN found f ON f.s = d.s
 """
 
 
+REPEATS_SQL = """
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), chunks AS (
+  SELECT r, j * 200 AS base, substr(h, j * 400 + 1, 798) AS part FROM (SELECT r, h, unnest(range(0, (n - 200) // 200 + 1)) AS j FROM texts WHERE n >= 200)
+), windows AS (
+  SELECT r, base + i AS pos, sha256(substr(part, 2 * i + 1, 400)) AS w FROM (SELECT r, base, part, unnest(range(0, (len(part) - 400) // 2 + 1)) AS i FROM chunks)
+), hits AS (
+  SELECT r, pos FROM (SELECT r, pos, count(*) OVER (PARTITION BY w) AS times FROM windows) WHERE times > 1
+), runs AS (
+  SELECT r, pos, sum(fresh) OVER (PARTITION BY r ORDER BY pos) AS k FROM (SELECT r, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY r ORDER BY pos) <= 200 THEN 0 ELSE 1 END AS fresh FROM hits)
+), spans AS (
+  SELECT r, min(pos) AS a, max(pos) + 200 AS b FROM runs GROUP BY r, k
+), gaps AS (
+  SELECT r, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS a, a AS b FROM spans UNION ALL SELECT s.r, max(s.b), any_value(t.n) FROM spans s JOIN texts t ON t.r = s.r GROUP BY s.r
+), kept AS (
+  SELECT g.r, unhex(string_agg(substr(t.h, 2 * g.a + 1, 2 * (g.b - g.a)), '' ORDER BY g.a, g.b)) AS rest FROM gaps g JOIN texts t ON t.r = g.r GROUP BY g.r
+), removed AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT t.doc_id, CAST(t.n AS BIGINT) AS n_bytes, CAST(coalesce(x.n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(x.n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(k.rest, unhex(t.h))) AS kept_sha256
+FROM texts t LEFT JOIN removed x ON x.r = t.r LEFT JOIN kept k ON k.r = t.r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_lattice": LATTICE_SQL, "op8_jaccard_join": JACCARD_SQL, "op1_mixing": MIXING_SQL, "op2_decontaminate": DECONTAMINATE_SQL}
+    return {"op5_suffix_dedup": REPEATS_SQL, "op3_lattice": LATTICE_SQL, "op8_jaccard_join": JACCARD_SQL, "op1_mixing": MIXING_SQL, "op2_decontaminate": DECONTAMINATE_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,8 @@ from kelpline.llm.storage import bucketed, materialise
 
 #: Bytes of the sampled strings; any repeated string of ``length`` bytes holds the one of least hash in it.
 SAMPLE = 64
-#: Sampled strings that occur more often than this are compared by the hashes of their windows, spread over all tasks.
-HOT = 8192
+#: Places of one sample that a task takes at once; of more, equal surroundings are merged, and the rest is told apart by longer samples.
+HOT = 1024
 _TILE = 1 << 18
 _PLACE = np.uint64((1 << 20) - 1)
 
@@ -44,17 +45,17 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], onward[width - 1 : width - 1 + n])
 
 
-def pieces(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Windows of ``length`` bytes of one text, in runs that share their least sampled string.
+def pieces(data: np.ndarray, length: int, sample: int = SAMPLE) -> Iterator[tuple[np.ndarray, ...]]:
+    """Windows of ``length`` bytes of one text, in runs that share their least string of ``sample`` bytes.
 
     Yields arrays (sample hash, first window, number of windows, place of the sample in the run, whether it
     is in it twice). Runs are at most as long as a window has samples; tiles keep the memory bounded.
     """
-    wide = length - SAMPLE + 1
+    wide = length - sample + 1
     for lo in range(0, len(data) - length + 1, _TILE):
         part = data[lo : min(len(data), lo + _TILE + length - 1)]
         prefix = prefix_hashes(part)
-        hashes = mix(substring_hashes(prefix, np.arange(len(part) - SAMPLE + 1), SAMPLE))
+        hashes = mix(substring_hashes(prefix, np.arange(len(part) - sample + 1), sample))
         ranked = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
         least = sliding_least(ranked, wide)
         place = (least & _PLACE).astype(np.int64)
@@ -147,13 +148,14 @@ class Contexts:
             out[lo + np.unique(owner[differs])] = False
         return out
 
-    def repeated(self, length: int, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def repeated(self, length: int, twice: np.ndarray, again: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, from, to): byte ranges of rows, from their start, that windows found elsewhere in the group cover.
 
         A row's neighbours in suffix order to the right share the longest right extension with it, those in
         order to the left the longest left one. A range that a neighbour shares on both sides is repeated
         if it has ``length`` bytes, and none reaches further than the longest ones. Where the two
-        don't settle it, and in groups with a sample that is in a run twice, all windows are compared.
+        don't settle it, and in groups with a sample that is in a run twice, all windows are compared. Rows
+        that are known to occur ``again`` as a whole are repeated as a whole.
         """
         n = len(self.group)
         best_left, best_right = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -174,9 +176,10 @@ class Contexts:
                 np.maximum.at(got_right, a[long], r[long])
         possible = best_left + best_right >= length
         doubt |= possible & ((got_left < best_left) | (got_right < best_right))
-        settled = np.flatnonzero(possible & ~doubt)
+        doubt &= ~again
+        settled, whole = np.flatnonzero(possible & ~doubt & ~again), np.flatnonzero(again)
         place = self.at - self.start
-        rows, begin, past = [settled], [place[settled] - best_left[settled]], [place[settled] + best_right[settled]]
+        rows, begin, past = [settled, whole], [place[settled] - best_left[settled], 0 * whole], [place[settled] + best_right[settled], (self.end - self.start)[whole]]
         if doubt.any():
             member = np.isin(self.group, self.group[doubt])
             a, b, c = self.windows(np.flatnonzero(member), length)
@@ -208,7 +211,7 @@ def _unpacked(column: pa.Array) -> list[np.ndarray]:
 
 
 def _packed(texts: DataFrame, length: int) -> DataFrame:
-    """(key, packed) of all texts of at least ``length`` bytes: MD5, and the compressed bytes after their number."""
+    """(key, packed) of all texts of at least ``length`` bytes: SHA-256, and the compressed bytes after their number."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", 1)
@@ -216,7 +219,7 @@ def _packed(texts: DataFrame, length: int) -> DataFrame:
             data, at = buffers(part.column("text"))
             raw = [data[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
             raw = [x for x in raw if len(x) >= length]
-            yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(x).digest() for x in raw], pa.binary()), pa.array([len(x).to_bytes(8, "little") + codec.compress(x, asbytes=True) for x in raw], pa.binary())], names=["key", "packed"])
+            yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(x).digest() for x in raw], pa.binary()), pa.array([len(x).to_bytes(8, "little") + codec.compress(x, asbytes=True) for x in raw], pa.binary())], names=["key", "packed"])
 
     return texts.mapInArrow(run, "key binary, packed binary")
 
@@ -251,16 +254,87 @@ def _placed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, np.ndarr
             yield part.column("key")[0].as_py(), _unpacked(part.column("packed"))[0], sample, place
 
 
+class _Merged:
+    """Pieces (sample, key, place, again, bytes) of which equal ones are merged while they are held.
+
+    Of equal bytes the first goes on, told that it occurs ``again``; the others are settled, and go on as
+    places without bytes, under samples of their own that spread them.
+    """
+
+    LIMIT = 16 << 20
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.first: dict[bytes, int] = {}
+        self.kept: list[list] = []
+        self.settled: list[tuple] = []
+        self.size = 0
+
+    def add(self, sample: int, key: bytes, place: int, again: bool, raw: bytes) -> None:
+        at = self.first.setdefault(raw, len(self.kept))
+        if at == len(self.kept):
+            self.kept.append([sample, key, place, again, raw])
+            self.size += len(raw) + 100
+        else:
+            self.kept[at][3] = True
+            self.settled.append((key, place))
+            self.size += 60
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(self.kept), 20_000):
+            sample, key, place, again, raw = zip(*self.kept[lo : lo + 20_000], strict=True)
+            yield _piece_batch(np.array(sample), key, np.array(place), again, raw)
+        for lo in range(0, len(self.settled), 50_000):
+            key, place = zip(*self.settled[lo : lo + 50_000], strict=True)
+            where = np.array(place)
+            spread = mix(where.view(np.uint64) ^ mix(np.frombuffer(b"".join(k[:8] for k in key), np.uint64))).view(np.int64)
+            yield _piece_batch(spread, key, where, [True] * len(key), [None] * len(key))
+        self.clear()
+
+
+def _piece_batch(sample: np.ndarray, key, place: np.ndarray, again, raw) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(sample, pa.int64()), pa.array(key, pa.binary()), pa.array(place, pa.int64()), pa.array(again, pa.bool_()), pa.array(raw, pa.binary())], names=["sample", "key", "place", "again", "bytes"])
+
+
+_PIECES = "sample long, key binary, place long, again boolean, bytes binary"
+
+
 def _pieces_of(texts: DataFrame, length: int) -> DataFrame:
-    """(sample, key, place, bytes): the bytes that each piece's windows cover."""
+    """(sample, key, place, again, bytes): the bytes that each piece's windows cover, equal ones of a task merged."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Merged()
         for key, data, sample, place in _placed(batches):
             first, size = place >> 18, ((place >> 9) & 511) + length - 1
-            raw = [data[a : a + n].tobytes() for a, n in zip(first.tolist(), size.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(sample), pa.array([key] * len(raw), pa.binary()), pa.array(place), pa.array(raw, pa.binary())], names=["sample", "key", "place", "bytes"])
+            for s, p, a, n in zip(sample.tolist(), place.tolist(), first.tolist(), size.tolist(), strict=True):
+                held.add(s, key, p, False, data[a : a + n].tobytes())
+                if held.size > held.LIMIT:
+                    yield from held.flush()
+        yield from held.flush()
 
-    return texts.mapInArrow(run, "sample long, key binary, place long, bytes binary")
+    return texts.mapInArrow(run, _PIECES)
+
+
+def _finer(rows: DataFrame, length: int, sample: int) -> DataFrame:
+    """The same windows as the pieces in ``rows`` have, in pieces by longer samples, equal ones of a task merged."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Merged()
+        for batch in batches:
+            data, at = buffers(batch.column("bytes"))
+            for k, (key, place, again) in enumerate(zip(batch.column("key").to_pylist(), batch.column("place").to_pylist(), batch.column("again").to_pylist(), strict=True)):
+                own = data[at[k] : at[k + 1]]
+                for name, first, windows, inside, twice in pieces(own, length, sample):
+                    where = (first.astype(np.int64) + (place >> 18) << 18) | (windows << 9) | (inside << 1) | twice
+                    for s, p, a, n in zip(name.view(np.int64).tolist(), where.tolist(), first.tolist(), (windows + length - 1).tolist(), strict=True):
+                        held.add(s, key, p, again, own[a : a + n].tobytes())
+            if held.size > held.LIMIT:
+                yield from held.flush()
+        yield from held.flush()
+
+    return rows.mapInArrow(run, _PIECES)
 
 
 def _ranges(contexts: DataFrame, length: int, rows: int = 8192) -> DataFrame:
@@ -268,11 +342,18 @@ def _ranges(contexts: DataFrame, length: int, rows: int = 8192) -> DataFrame:
 
     def work(table: pa.Table) -> pa.RecordBatch:
         table = table.combine_chunks()
-        place = table.column("place").to_numpy()
-        data, at = buffers(table.column("bytes").chunk(0))
-        found = Contexts(data, at, (place >> 1) & 255, table.column("sample").to_numpy()).repeated(length, (place & 1).astype(bool))
-        row, first, past = found
-        return pa.RecordBatch.from_arrays([table.column("key").chunk(0).take(pa.array(row)), pa.array((place >> 18)[row] + first), pa.array((place >> 18)[row] + past)], names=["key", "first", "past"])
+        place, keys = table.column("place").to_numpy(), table.column("key").chunk(0)
+        with_bytes = np.flatnonzero(table.column("bytes").is_valid().to_numpy(zero_copy_only=False))
+        settled = np.flatnonzero(table.column("bytes").is_null().to_numpy(zero_copy_only=False))
+        row, first, past = settled, 0 * settled, ((place[settled] >> 9) & 511) + length - 1
+        if len(with_bytes):
+            part = table.take(pa.array(with_bytes)).combine_chunks()
+            data, at = buffers(part.column("bytes").chunk(0))
+            of = place[with_bytes]
+            again = part.column("again").to_numpy(zero_copy_only=False).astype(bool)
+            r, a, b = Contexts(data, at, (of >> 1) & 255, part.column("sample").to_numpy()).repeated(length, (of & 1).astype(bool), again)
+            row, first, past = np.concatenate([row, with_bytes[r]]), np.concatenate([first, a]), np.concatenate([past, b])
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(row)), pa.array((place >> 18)[row] + first), pa.array((place >> 18)[row] + past)], names=["key", "first", "past"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -296,59 +377,30 @@ def _ranges(contexts: DataFrame, length: int, rows: int = 8192) -> DataFrame:
     return contexts.repartition("sample").sortWithinPartitions("sample").mapInArrow(run, "key binary, first long, past long")
 
 
-def _hot_ranges(texts: DataFrame, length: int) -> DataFrame:
-    """(key, first, past) for the pieces of samples that occur very often, by the hashes of single windows.
+def _hot_ranges(texts: DataFrame, length: int, hot: int) -> list[DataFrame]:
+    """(key, first, past) for the pieces of samples that occur very often, as parts of one result.
 
-    Each task first settles the windows that it holds twice; of the others only hash and place go on.
-    A hash then has at most one place from each round of a task, however often its string occurs, and a
-    round that holds it twice tells so without a place.
+    Equal pieces of a task are merged, as common strings mostly stand in equal surroundings. Samples that are then
+    left with up to ``hot`` pieces are sorted as all others. The pieces of the rest are cut anew by samples of 128
+    and 192 bytes, each of which has fewer places, and at last into single windows, which are equal or not by all their bytes.
     """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[bytes] = []
-        seen: list[tuple[np.ndarray, ...]] = []
-
-        def settled() -> pa.RecordBatch:
-            of, start, low, high = (np.concatenate(x) for x in zip(*seen, strict=True))
-            order = np.lexsort((high, low))
-            new = np.concatenate([[True], (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])])
-            head = np.flatnonzero(new)
-            count = np.diff(np.append(head, len(order)))
-            here = order[np.repeat(count > 1, count)]  # repeated: the places alone, as ranges
-            alone = order[head[count == 1]]  # to be seen: hash and place
-            told = order[head[count > 1]]  # repeated: the hash alone, twice
-            hashed = np.concatenate([alone, told, told])
-            here = here[np.lexsort((start[here], of[here]))]
-            o, s = of[here], start[here]
-            run = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1)])) if len(here) else np.zeros(0, np.int64)
-            last = np.append(run[1:], len(here)) - 1 if len(here) else run
-            void = pa.nulls(len(run), pa.int64())
-            join = lambda x: pa.concat_arrays([void, pa.array(x[hashed].view(np.int64))])
-            keys = pa.array([names[k] for k in np.concatenate([o[run], of[alone]]).tolist()] + [None] * (2 * len(told)), pa.binary())
-            first, past = (pa.array(np.concatenate([a, start[hashed] + b])) for a, b in ((s[run], 0), (s[last] + length, length)))
-            return pa.RecordBatch.from_arrays([join(low), join(high), keys, first, past], names=["low", "high", "key", "first", "past"])
-
-        held = 0
-        for key, data, _, place in _placed(batches):
-            names.append(key)
-            for w in place.tolist():
-                a, n = w >> 18, (w >> 9) & 511
-                part = data[a : a + n + length - 1]
-                prefix, other = prefix_hashes(part), prefix_hashes(part[::-1])
-                at = np.arange(n)
-                seen.append((np.full(n, len(names) - 1), at + a, mix(substring_hashes(prefix, at, length)), mix(substring_hashes(other, len(part) - length - at, length))))
-                held += n
-            if held > 500_000:
-                yield settled()
-                names, seen, held = [], [], 0
-        if seen:
-            yield settled()
-
-    rows = materialise(texts.mapInArrow(run, "low long, high long, key binary, first long, past long"), "suffix-hot")
-    local = rows.where("low is null").select("key", "first", "past")
-    rest = rows.where("low is not null").groupBy("low", "high").agg(F.collect_list(F.struct("key", "first", "past")).alias("places")).where(F.size("places") > 1)
-    rest = rest.select(F.explode("places").alias("p")).where("p.key is not null").select("p.key", "p.first", "p.past")
-    return local.unionByName(rest)
+    whole = lambda df: df.select("key", F.shiftright("place", 18).alias("first"), (F.shiftright("place", 18) + F.shiftright("place", 9).bitwiseAND(511) + (length - 1)).alias("past"))
+    found, rows = [], _pieces_of(texts, length)
+    for sample in [*range(2 * SAMPLE, length, SAMPLE), length]:
+        rows = materialise(rows, "suffix-hot")
+        found.append(whole(rows.where("bytes is null")))
+        rows = rows.where("bytes is not null")
+        many = materialise(rows.groupBy("sample").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot).select("sample"), "suffix-hot-samples")
+        found.append(_ranges(rows.join(many, "sample", "left_anti"), length))
+        if many.isEmpty():
+            return found
+        rows = _finer(rows.join(many, "sample", "left_semi"), length, sample)
+    rows = materialise(rows, "suffix-windows")
+    found.append(whole(rows.where("again")))
+    # at most one row of a window from each round of a task is not settled yet
+    groups = rows.where("bytes is not null").groupBy("bytes").agg(F.collect_list(F.struct("key", "place", "again")).alias("places")).where(F.size("places") > 1)
+    found.append(whole(groups.select(F.explode("places").alias("p")).select("p.*").where("not again")))
+    return found
 
 
 def remove_repeats(df: DataFrame, *, length: int = 200, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -360,18 +412,18 @@ def remove_repeats(df: DataFrame, *, length: int = 200, hot: int = HOT, id_col:
     windows have equal samples, and one in seventy places is a sample. Only places whose sample
     occurs again are taken further: the bytes around them meet by sample, are sorted as suffixes to the
     right and to the left by a mergesort whose comparisons are binary searches over prefix hashes, and the
-    common extensions of neighbours, verified byte by byte, are the repeats. Places of a sample with more than
-    ``hot`` of them are settled by hashes of 128 bits of their windows instead, which spread over all tasks.
+    common extensions of neighbours, verified byte by byte, are the repeats. Samples of more than ``hot`` places
+    are first told apart by merging equal surroundings and by longer samples (see ``_hot_ranges``).
 
-    Texts are stored once, compressed and bucketed by their MD5, in the shared folder, and both joins with
+    Texts are stored once, compressed and bucketed by their SHA-256, in the shared folder, and both joins with
     places and ranges read the buckets without moving the texts. Null texts count as empty; shorter
-    texts stay whole; equal rows are separate rows; columns that are not named are ignored.
+    texts stay whole; equal rows are separate rows; null ids are kept; columns that are not named are ignored.
     """
-    spark = df.sparkSession
     if not SAMPLE < length <= SAMPLE + 255:
         raise ValueError(f"length must be from {SAMPLE + 1} to {SAMPLE + 255}")
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = df.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(text)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha"))
+    whole = [text.alias("whole")] if with_text else []
+    rows = df.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), *whole)
     packed = _packed(df.select(F.col(text_col).alias("text")), length)
     packed = packed.groupBy("key").agg(F.first("packed").alias("packed"), F.count(F.lit(1)).alias("copies"))
     texts = bucketed(packed, "key", "texts")
@@ -379,9 +431,10 @@ def remove_repeats(df: DataFrame, *, length: int = 200, hot: int = HOT, id_col:
     again = materialise(places.groupBy("sample").agg(F.sum(1 + F.col("place").bitwiseAND(1)).alias("n")).where("n > 1"), "suffix-samples")
     repeated = materialise(places.join(again, "sample").select("sample", "key", "place", "n"), "suffix-places")
     contexts = _pieces_of(_joined(texts, repeated.where(F.col("n") <= hot)), length)
-    ranges = _ranges(contexts, length)
+    ranges = [_ranges(contexts, length)]
     if again.where(F.col("n") > hot).limit(1).count():
-        ranges = ranges.unionByName(_hot_ranges(_joined(texts, repeated.where(F.col("n") > hot)), length))
+        ranges += _hot_ranges(_joined(texts, repeated.where(F.col("n") > hot)), length, hot)
+    ranges = reduce(DataFrame.unionByName, ranges)
     ranges = materialise(ranges, "suffix-ranges").groupBy("key").agg(F.collect_list(F.struct("first", "past")).alias("ranges"))
     touched = texts.join(ranges, "key", "left").where((F.col("copies") > 1) | F.col("ranges").isNotNull())
 
@@ -403,8 +456,5 @@ def remove_repeats(df: DataFrame, *, length: int = 200, hot: int = HOT, id_col:
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([int(out.sum())]), pa.array([spans]), pa.array([hashlib.sha256(left).hexdigest()]), pa.array([left if with_text else None], pa.binary())], names=["key", "n_removed", "n_spans", "kept_sha", "left"])
 
     done = touched.select("key", "packed", "copies", "ranges").mapInArrow(run, "key binary, n_removed long, n_spans long, kept_sha string, left binary")
-    columns = ["doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha", "sha").alias("kept_sha256")]
-    if not with_text:
-        return rows.join(done.drop("left"), "key", "left").select(*columns)
-    rows = df.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(text)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha"), text.alias("whole"))
-    return rows.join(done, "key", "left").select(*columns, F.coalesce("left", "whole").alias("kept"))
+    columns = ["doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha", F.lower(F.hex("key"))).alias("kept_sha256")]
+    return rows.join(done, "key", "left").select(*columns, *([F.coalesce("left", "whole").alias("kept")] if with_text else []))

@@ -151,8 +151,13 @@ def _brute_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [8192, 3])
-def test_repeats_against_brute_force(docs, hot):
+@pytest.mark.parametrize("hot", [1024, 8, 2, 0])
+def test_repeats_against_brute_force(docs, hot, monkeypatch):
+    """Also where samples are hot at every level, and equal pieces meet in several rounds of a task."""
+    from kelpline.llm import suffix_dedup
+
+    if hot == 2:
+        monkeypatch.setattr(suffix_dedup._Merged, "LIMIT", 3000)
     rng = random.Random(9)
     base = ["".join(rng.choice("abcd é") for _ in range(800)) for _ in range(3)]
     texts = [None, "", "a" * 900, "ab" * 120, "é" * 150, base[0], base[0]]
@@ -162,14 +167,30 @@ def test_repeats_against_brute_force(docs, hot):
         for _ in range(rng.randrange(3)):
             x[rng.randrange(len(x))] = f"<{k}>"
         texts.append(_prose(rng, rng.randrange(30)) + "".join(x) + ("De " * rng.randrange(200) if k % 9 == 0 else ""))
+    for n in (100, 140, 190, 198, 199, 200, 260):  # strings of n bytes in different surroundings
+        common = "".join(rng.choice("xyz") for _ in range(n))
+        texts += ["".join(rng.choice("mnop") for _ in range(150)) + common + "".join(rng.choice("mnop") for _ in range(150)) for _ in range(12)]
     rows = [(k, t, "en", "s") for k, t in enumerate(texts)]
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(docs(rows), hot=hot).collect()}
     want = dict(enumerate(_brute_repeats(texts, 200)))
     assert got == want
-    if hot == 3:
+    if hot == 8:
         kept = {r.doc_id: bytes(r.kept) for r in remove_repeats(docs(rows), with_text=True).select("doc_id", "kept").collect()}
         assert {k: hashlib.sha256(v).hexdigest() for k, v in kept.items()} == {k: v[3] for k, v in want.items()}
         assert remove_repeats(docs([])).count() == 0
+        unnamed = remove_repeats(docs([(None, base[1], "en", "s"), (None, base[1], "en", "s"), (None, "x", "en", "s")])).collect()
+        assert sorted(r.n_removed for r in unnamed) == [0, len(base[1].encode()), len(base[1].encode())]
+
+
+@pytest.mark.parametrize("hot", [1024, 4])
+def test_repeats_across_the_tiles_of_long_texts(docs, hot):
+    rng = random.Random(12)
+    fresh = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage, tile = fresh(3000), 1 << 18
+    long = fresh(tile - 1500) + passage + fresh(tile - 1600) + passage[:250] + fresh(2000)
+    texts = [long, fresh(700) + passage[100:900] + fresh(50), fresh(tile - 199), "q" * (tile + 5000), fresh(tile + 10)[:-1] + passage[2800:]]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(docs([(k, t, "en", "s") for k, t in enumerate(texts)]), hot=hot).collect()}
+    assert got == dict(enumerate(_brute_repeats(texts, 200)))
 
 
 def _brute_vectors(rows):
