@@ -1,6 +1,8 @@
 import random
 import zlib
 
+import pytest
+
 from kelpline.llm.language import identify, predict_languages, train
 from kelpline.llm.pii import luhn_sum, pseudonymise
 from kelpline.llm.quality import predict_quality
@@ -27,6 +29,43 @@ def test_language_held_out(docs):
     assert {r.lang_pred for r in identify(docs(rows[:3]), None).collect()} == {"und"}
 
 
+def _plain_kernel(a, b):
+    grams = lambda t: {t[k : k + n] for n in (1, 2, 3) for k in range(len(t) - n + 1)}
+    symbols = lambda t: [0 if c < 128 and not chr(c).isalpha() else c | 32 if c < 128 else c for c in t.encode()]
+    x, y = (grams(tuple(symbols(t))) for t in (a, b))
+    return len(x & y) / (len(x) * len(y)) ** 0.5
+
+
+def test_kernel_is_that_of_all_n_grams():
+    """Against sets of n-grams, for texts whose n-grams are mostly in no landmark too."""
+    import numpy as np
+    import pyarrow as pa
+
+    from kelpline.llm.bytetools import buffers
+    from kelpline.llm.language import codes, fit
+
+    rng = random.Random(7)
+    known = [(lang, _text(rng, lang, 20)) for lang in ("en", "fr") for _ in range(5)]
+    sets = [(lang, np.unique(np.concatenate([c for c, _ in codes(*buffers(pa.array([t])))]))) for lang, t in known]
+    model = fit(sets)
+    texts = [t for _, t in known] + [_text(rng, "de", 2000), "x", "éж 12!", "q" * 100]
+    got, share = model.kernel(*buffers(pa.array(texts)))
+    assert share[: len(known)] == pytest.approx(1) and all(share[len(known) :] < 1)
+    order = [t for lang in ("en", "fr") for k, t in known if k == lang]
+    want = np.array([[_plain_kernel(t, mark) for mark in order] for t in texts])
+    assert np.abs(got - want).max() < 1e-5
+
+
+def test_rows_of_language_stay_apart(docs):
+    rng = random.Random(3)
+    rows = [(i, _text(rng, lang := rng.choice(["en", "de"]), 40), lang, "s") for i in range(100)]
+    rows += [(7, rows[7][1], rows[7][2], "t")] * 3 + [(None, rows[8][1], None, None)] * 2
+    got = predict_languages(docs(rows)).collect()
+    assert len(got) == len(rows) and len({(r.lang_pred, r.score) for r in got if r.doc_id == 7}) == 1
+    alone = predict_languages(docs([(i, t, "en", s) for i, t, _, s in rows])).collect()
+    assert {r.lang_pred for r in alone} == {"en"} and all(r.score == 1 for r in alone)
+
+
 def test_quality_held_out(spark, docs):
     rng = random.Random(2)
     rows, labels = [], []

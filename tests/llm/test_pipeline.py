@@ -41,6 +41,34 @@ def test_each_stage_does_its_own(spark, docs, tmp_path):
     assert pipeline.run(spark, sf).count() == df.count() > 0
 
 
+def _frame(spark, rows):
+    return spark.createDataFrame([(i, t, lang, src, None if t is None else len(t)) for i, t, lang, src in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_texts_of_no_learned_language_go(spark):
+    rng = random.Random(21)
+    text = lambda lang, n: " ".join(rng.choice(WORDS[lang].split()) + rng.choice(["", "s", "en"]) for _ in range(n))
+    clean = [(i, text(lang := rng.choice(["en", "fr", "de"]), rng.choice([2, 10, 100])), lang, "s") for i in range(900)]
+    foreign = [(1000 + i, " ".join(rng.choice(["привет", "как", "дела", "хорошо", "спасибо", "где", "это"]) for _ in range(60)), None, "s") for i in range(20)]
+    junk = [(2000 + i, "".join(rng.choice("qxzjvkwy") for _ in range(300)), None, "s") for i in range(20)]
+    got = {r.doc_id for r in pipeline.identify_language(spark, _frame(spark, clean + foreign + junk), "").collect()}
+    assert got == {r[0] for r in clean}
+
+
+def test_stages_on_nothing_and_on_odd_rows(spark, tmp_path):
+    """Empty tables; null ids, texts, languages and sources; equal rows: each stage has its result, with the columns of documents."""
+    sf = str(tmp_path)
+    spark.createDataFrame([(0, "ten words that no document below has in a row"), (None, None)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    odd = [(None, None, None, None), (None, None, None, None), (1, "", "en", None), (2, "some words", None, "a"), (2, "some words", None, "a"), (None, "some words", "en", "a"), (3, "1 2 3", "en", "b")]
+    for rows in ([], odd):
+        df = _frame(spark, rows)
+        for name, stage in pipeline.STAGES:
+            out = stage(spark, df, sf)
+            assert tuple(out.columns)[:5] == pipeline.COLUMNS and out.count() <= 3 * len(rows), name
+            if name in ("decontamination", "personal_data"):
+                assert sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+
+
 def test_one_row_of_each_component_stays(spark):
     """Repeated and null ids: equal rows, near copies under an id that stays elsewhere, copies without an id."""
     rng = random.Random(3)
