@@ -14,17 +14,20 @@ from kelpline.llm.registry import PUBLIC_KEY, table
 from kelpline.llm.storage import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text whose likeliest language is less probable than this is rejected, as is one without a letter.
-LEAST_SCORE = 0.3
+#: A text of at least so many letters is rejected if too few of its n-grams are known (``least_known`` of the fitted model): it is in
+#: no learned language. Shorter texts tell too little to be rejected for that.
+TELLING_LETTERS = 40
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those without letters or alike to no language go.
+    """Documents in a known language; those without letters, and those that are in no learned language, go.
 
-    Null and empty texts go; all else about the rows stays as it is.
+    Null and empty texts go; all else about the rows stays as it is. Without any labelled row nothing is known, and all go.
     """
-    found = language.identify(docs, language.train(docs), keep=COLUMNS[1:])
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    model = language.train(docs)
+    found = language.identify(docs, model, keep=COLUMNS[1:])
+    letters = F.regexp_count("_kept_text", F.lit(r"\p{L}"))
+    kept = found.where((F.col("lang_pred") != "und") & ((F.col("known") >= (model.least_known if model else 0.0)) | (letters < TELLING_LETTERS)))
     return kept.select("doc_id", *[F.col(f"_kept_{c}").alias(c) for c in COLUMNS[1:]])
 
 
