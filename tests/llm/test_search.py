@@ -32,22 +32,63 @@ def _brute_contamination(rows, items, words, window=10):
     return out
 
 
-@pytest.mark.parametrize("index_bytes", [1 << 25, 300])
-def test_contamination_against_brute_force(spark, docs, words, index_bytes):
+def _brute_matches(t, items, words, window):
+    """Maximal common stretches by diagonals: (first, past, item, item_first), of windows (shorter items as a whole)."""
+    w, found = words(t), set()
+    for item, text in items:
+        b = words(text)
+        n = min(window, len(b))
+        hits = {(k, o) for o in range(len(b) - n + 1) for k in range(len(w) - n + 1) if n and w[k : k + n] == b[o : o + n]}
+        for k, o in hits:
+            if (k - 1, o - 1) not in hits:
+                past = k
+                while (past + 1, o + past + 1 - k) in hits:
+                    past += 1
+                found.add((k, past + n, "" if item is None else str(item), o))
+    return found
+
+
+@pytest.mark.parametrize(("index_bytes", "item_words"), [(1 << 27, 1 << 16), (3000, 1 << 16), (6000, 14), (1 << 27, 14)])
+def test_contamination_against_brute_force(spark, docs, words, monkeypatch, index_bytes, item_words):
+    from kelpline.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "ITEM_WORDS", item_words)
     rng = random.Random(3)
     items = [(k, _prose(rng, 30, 60)) for k in range(6)] + [(10, "Short Item here"), (11, "one"), (2, _prose(rng, 12)), (12, None), (13, ""), (None, _prose(rng, 11, 60))]
-    rows = [(0, None, "en", "s"), (1, "", "en", "s"), (2, "SHORT item, here!", "en", "s"), (3, "one", "en", "s"), (4, items[0][1].upper(), "en", "s"), (5, "é one é", "en", "s")]
+    items.append((20, items[0][1][30:] + " " + items[1][1]))
+    rows = [(0, None, "en", "s"), (1, "", "en", "s"), (2, "SHORT item, here!", "en", "s"), (3, "one", "en", "s"), (4, items[0][1].upper(), "en", "s"), (5, "é one é", "en", "s"), (6, items[0][1] + " " + items[1][1], "en", "s"), (6, items[0][1] + " " + items[1][1], "en", "s"), (None, items[2][1], None, None)]
     for k in range(40):
         a = items[rng.randrange(6)][1].split()
         rows.append((10 + k, _prose(rng, rng.randrange(40)) + " " + " ".join(a[rng.randrange(15) :][: rng.randrange(25)]) + " - " + _prose(rng, 5, 60), "en", "s"))
-    rows.append((100, _prose(rng, 60_000) + " " + items[3][1], "en", "s"))
+    rows.append((100, _prose(rng, 6_000) + " " + items[3][1], "en", "s"))
     bench = spark.createDataFrame([(i, t, "clash") for i, t in items], "item_id long, text string, doc_id string")
-    got = contamination_report(find_contamination(docs(rows), bench, index_bytes=index_bytes)).collect()
-    assert {r.doc_id: tuple(r)[1:] for r in got} == _brute_contamination(rows, items, words)
+    found = find_contamination(docs(rows), bench, index_bytes=index_bytes).cache()
+    got = contamination_report(found).collect()
+    assert len(got) == len(rows) and {r.doc_id: tuple(r)[1:] for r in got} == _brute_contamination(rows, items, words)
+    matches = {r.doc_id: {(m.first, m.past, m.item_id, m.item_first) for m in r.matches} for r in found.collect()}
+    texts = {r[0]: r[1] for r in rows}
+    for i in (4, 6, None, 100, *range(10, 50)):
+        assert matches[i] == _brute_matches(texts[i], items, words, 10), i
     assert contamination_report(find_contamination(docs([]), bench)).count() == 0
     assert not contamination_report(find_contamination(docs(rows), bench.limit(0))).where("contaminated").count()
 
 
+def test_words_are_compared_by_their_bytes(spark, docs, monkeypatch):
+    """With a hash that tells only lengths, the spelling decides."""
+    from kelpline.llm import decontaminate
+
+    real = decontaminate.words
+    monkeypatch.setattr(decontaminate, "words", lambda data, at: (lambda h, o, a, b: ((b - a).astype(np.uint64), o, a, b))(*real(data, at)))
+    index = decontaminate.build_index([("x", 0, "a bb ccc dddd")], 10)
+    import pyarrow as pa
+
+    part = pa.RecordBatch.from_arrays([pa.array(["A bb CCC dddd", "a bb cxc dddd", "e ff ggg hhhh a bb ccc dddd"])], names=["text"])
+    _, (text, _, first, past, _) = decontaminate._scan(part, index, 10)
+    assert list(zip(text.tolist(), first.tolist(), past.tolist(), strict=True)) == [(0, 0, 4), (2, 4, 8)]
+    with pytest.raises(ValueError, match="hash"):
+        decontaminate.build_index([("x", 0, "aa bb")], 10)
+
+
 def _brute_links(rows, words, percent=80):
     sets = []
     for _, t, *_ in rows:
@@ -296,3 +337,36 @@ def test_licenses_are_found_wherever_they_stand(docs, words):
             assert c >= 0.8 and len(shingles(TEMPLATES[other]) & shingles(text_of[i])) >= 0.8 * len(shingles(TEMPLATES[other]))
     assert got[900].licenses == ["MIT"] and got[901].licenses == [] and got[0].licenses == []
     assert scan_licenses(docs([])).count() == 0
+
+
+def test_every_containment_is_found(docs, words):
+    """Against all stretches of a template's length: what holds 0.8 of its shingles is reported, or a variant that fits better is."""
+    from kelpline.llm.licenses import prepare
+
+    rng = random.Random(16)
+    known = prepare(TEMPLATES)
+    long = " ".join(["again and again the same six words"] * 12)  # many shingles, few of them distinct
+    templates = {**TEMPLATES, "repeats": long + " " + _prose(rng, 12)}
+    rows = []
+    for k in range(120):
+        name = rng.choice([n for n in templates if len(templates[n].split()) > 15])
+        x = templates[name].split()
+        for _ in range(rng.choice([0, 0, 1, 2, len(x) // 25, len(x) // 12])):
+            x[rng.randrange(len(x))] = "changed"
+        rows.append((k, _prose(rng, rng.randrange(300)) + " " + " ".join(x) + " " + _prose(rng, rng.randrange(300)), "en", "s"))
+    rows += [(500, None, "en", "s"), (None, TEMPLATES["ISC"], None, None), (7, rows[7][1], "en", "s"), (501, _prose(rng, 200_000) + TEMPLATES["ISC"] + _prose(rng, 100_000), "en", "s")]
+    got = [(r.doc_id, tuple(r.licenses)) for r in scan_licenses(docs(rows), templates=templates).collect()]
+    shingles = lambda w: [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+    sets = {n: shingles(words(t)) for n, t in templates.items()}
+    found = dict(got)
+    for i, t, *_ in rows[:120]:
+        own = shingles(words(t))
+        for n, s in sets.items():
+            if len(s) < 2:
+                continue
+            whole = set(s)
+            most = max((len(whole & set(own[a : a + len(s)])) for a in range(max(1, len(own) - len(s) + 1))), default=0) / len(whole)
+            variants = known.variants[known.names.index(n)] if n in known.names else []
+            if most >= 0.8:
+                assert n in found[i] or any(v in found[i] for v in variants), (i, n)
+    assert found[None] == ("ISC",) == found[501] and found[500] == () and len(got) == len(rows)
