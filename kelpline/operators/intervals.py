@@ -7,7 +7,7 @@ session and time, so a session of any length spills like any sorted data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelpline.policy import Policy
@@ -15,51 +15,107 @@ from kelpline.policy import Policy
 VOTED = ("user_id", "content_id", "platform", "country", "app_version", "audio_language", "subtitle_language", "player_version")
 
 
+class _Frames:
+    """Windows over a session in order of time and against it.
+
+    What comes next is a running value against time, so no frame is scanned again for each row.
+    """
+
+    def __init__(self) -> None:
+        self.session = Window.partitionBy("video_session_id")
+        self.after, self.before = self.session.orderBy("ts_s"), self.session.orderBy(F.col("ts_s").desc())
+        self.so_far, self.onward = (w.rangeBetween(Window.unboundedPreceding, 0) for w in (self.after, self.before))
+        self.earlier, self.later = (w.rangeBetween(Window.unboundedPreceding, -1) for w in (self.after, self.before))
+
+
+def _at(condition: Column) -> Column:
+    return F.when(condition, F.col("ts_s"))
+
+
+def _live(policy: Policy) -> Column:
+    kind = F.col("event_type")
+    return {"all": F.lit(True), "no_background": ~kind.isin("AppBackgrounded", "AppForegrounded"), "playback": kind.isin("VideoHeartbeat", "VideoPlay")}[policy.liveness]
+
+
+def _edges(events: DataFrame, policy: Policy) -> DataFrame:
+    """Events with _first and _last: does a run begin or end with them?"""
+    w = _Frames()
+    apart = lambda a, b: F.coalesce(a - b > policy.gap_s, F.lit(True))
+    if policy.liveness == "all":
+        return events.withColumns({"_first": apart(F.col("ts_s"), F.lead("ts_s").over(w.before)), "_last": apart(F.lag("ts_s").over(w.before), F.col("ts_s"))})
+    live = _live(policy)
+    beside = lambda order: F.last(_at(live), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = events.withColumn("_first", live & apart(F.col("ts_s"), beside(w.after)))
+    return rows.withColumn("_last", live & apart(beside(w.before), F.col("ts_s")))
+
+
 def with_runs(events: DataFrame, policy: Policy) -> DataFrame:
-    """Events with _run (a number within the session), its start and end, and the next resume of the session."""
-    by_time = Window.partitionBy("video_session_id").orderBy("ts_s")
-    so_far = by_time.rangeBetween(Window.unboundedPreceding, 0)
-    onward = by_time.rangeBetween(0, Window.unboundedFollowing)
-    gap = F.coalesce(F.col("ts_s") - F.lag("ts_s").over(by_time) > policy.gap_s, F.lit(False))
-    flagged = events.withColumn("_gap", gap.cast("int")).withColumn("_resume", F.min(F.when(F.col("event") == "resume", F.col("ts_s"))).over(onward))
-    numbered = flagged.withColumn("_run", F.sum("_gap").over(so_far))
-    of_run = Window.partitionBy("video_session_id", "_run")
-    return numbered.withColumn("_start", F.min("ts_s").over(of_run)).withColumn("_end", F.max("ts_s").over(of_run)).drop("_gap")
+    """Events with what is known of their run and segment.
+
+    _run (a number within the session), _start and _end: the run, null outside of any. _e: until when the event
+    takes time away, if it is a pause (or a background that counts) before its run's end. _from and _to: the segment
+    without such time that the event is in, from the run's start or the end of what was taken to the run's end or the next taking;
+    null if it is in none. _tail: the segment's grace. Every segment has an event, that which ends it.
+    Windows over one exchange and two sorts of a session.
+    """
+    w = _Frames()
+    kind, name, t = F.col("event_type"), F.col("event"), F.col("ts_s")
+    rows = _edges(events, policy)
+    taking = policy.background != "ignored"
+    if policy.background_carries:
+        away = F.max(_at(kind == "AppBackgrounded")).over(w.earlier) > F.coalesce(F.max(_at(kind == "AppForegrounded")).over(w.earlier), F.lit(-(1 << 62)))
+        rows = rows.withColumn("_away", F.coalesce(away, F.lit(False)))
+    following = {"_end": F.min(_at(F.col("_last"))).over(w.onward), "_next_first": F.min(_at(F.col("_first"))).over(w.later), "_resume": F.min(_at(name == "resume")).over(w.onward)}
+    if taking:
+        following |= {"_fg": F.min(_at(kind == "AppForegrounded")).over(w.onward), "_bg": F.min(_at(kind == "AppBackgrounded")).over(w.onward)}
+    if not policy.unclosed_pause_to_run_end or policy.background == "next_event":
+        following["_next"] = F.min(_at(_live(policy))).over(w.later)
+    if policy.background == "next_heartbeat":
+        following["_beat"] = F.min(_at(kind == "VideoHeartbeat")).over(w.later)
+    rows = rows.withColumns(following).withColumn("_end", F.when(F.col("_next_first").isNull() | (F.col("_next_first") > F.col("_end")), F.col("_end")))
+    past = F.col("_end") + 1
+    until = lambda end, unclosed: F.when(end.isNotNull(), F.when(end <= F.col("_end"), end).otherwise(past)).otherwise(F.least(F.coalesce(unclosed, past), past))
+    e = F.when(name == "pause", until(F.col("_resume"), past if policy.unclosed_pause_to_run_end else F.col("_next")))
+    if taking:
+        unclosed = {"run_end": past, "next_event": F.col("_next") if policy.background == "next_event" else past, "next_heartbeat": F.col("_beat") if policy.background == "next_heartbeat" else past}
+        e = F.greatest(e, F.when(kind == "AppBackgrounded", until(F.col("_fg"), unclosed[policy.background])))
+    rows = rows.withColumn("_e", F.when((t < F.col("_end")) & (e > t), e))
+    begin = F.when(F.col("_away"), until(F.col("_fg"), past)).otherwise(t) if policy.background_carries else t
+    rows = rows.withColumn("_begin", F.when(F.col("_first"), begin))
+    onward = {"_taken": F.min(_at(F.col("_e").isNotNull())).over(w.onward)}
+    if policy.background_caps_tail:
+        onward["_cap"] = F.min(F.when(F.col("_last"), F.struct("ts_s", "_bg"))).over(w.onward)["_bg"]
+    rows = rows.withColumns(onward)
+    rows = rows.withColumns({
+        "_run": F.when(F.col("_end").isNotNull(), F.sum(F.col("_first").cast("int")).over(w.so_far)), "_start": F.when(F.col("_end").isNotNull(), F.max(_at(F.col("_first"))).over(w.so_far)),
+        "_from": F.greatest(F.max("_begin").over(w.so_far), F.max("_e").over(w.earlier)),
+    })
+    to = F.least(F.coalesce("_taken", "_end"), F.col("_end"))
+    active = F.col("_end").isNotNull() & (F.col("_from") <= t) & ((to >= F.col("_from")) if policy.point_activity_counts else (to > F.col("_from")))
+    tail = F.least(F.lit(policy.tail_s), F.col("_cap") - F.col("_end")) if policy.background_caps_tail else F.lit(policy.tail_s)
+    rows = rows.withColumns({"_from": F.when(active, F.col("_from")), "_to": F.when(active, to), "_tail": F.when(active & (to == F.col("_end")), tail).when(active, 0)})
+    return rows.select(*events.columns, "_run", "_start", "_end", "_e", "_from", "_to", "_tail")
 
 
 def pause_windows(runs: DataFrame, policy: Policy) -> DataFrame:
-    """(video_session_id, _run, _start, _end, p, e): each pause before its run's end, to the resume that ends it.
+    """(video_session_id, _run, _start, _end, p, e): each pause before its run's end, to the resume that ends it, of ``with_runs``.
 
     The resume is the session's first at or after the pause. If it lies beyond the run, the pause lasts past
-    the run's end, or to the run's next event if the policy says so.
+    the run's end; if there is none, it does too, or to the run's next event if the policy says so.
     """
-    next_event = F.min("ts_s").over(Window.partitionBy("video_session_id", "_run").orderBy("ts_s").rangeBetween(1, Window.unboundedFollowing))
-    open_end = F.col("_end") + 1 if policy.unclosed_pause_to_run_end else F.col("_next")
-    rows = runs if policy.unclosed_pause_to_run_end else runs.withColumn("_next", next_event)
-    rows = rows.where((F.col("event") == "pause") & (F.col("ts_s") < F.col("_end")))
-    e = F.when(F.col("_resume") <= F.col("_end"), F.col("_resume")).otherwise(open_end)
-    rows = rows.select("video_session_id", "_run", "_start", "_end", F.col("ts_s").alias("p"), e.alias("e"))
-    return rows.where("e > p").distinct()
+    return runs.where("_e is not null").select("video_session_id", "_run", "_start", "_end", F.col("ts_s").alias("p"), F.col("_e").alias("e")).distinct()
 
 
 def segments(events: DataFrame, policy: Policy) -> DataFrame:
     """(video_session_id, _run, seg_start, seg_end, start_s, end_s): what is left of each run without its pauses."""
-    runs = with_runs(events, policy)
-    pauses = pause_windows(runs, policy)
-    whole = runs.select("video_session_id", "_run", "_start", "_end").distinct()
-    ends = pauses.unionByName(whole.withColumn("p", F.col("_end")).withColumn("e", F.col("_end")))
-    before = Window.partitionBy("video_session_id", "_run").orderBy("p", "e").rowsBetween(Window.unboundedPreceding, -1)
-    cursor = F.greatest(F.col("_start"), F.coalesce(F.max("e").over(before), F.col("_start")))
-    cut = ends.withColumn("seg_start", cursor)
-    lasting = F.col("p") >= F.col("seg_start") if policy.point_activity_counts else F.col("p") > F.col("seg_start")
-    tail = F.when(F.col("p") == F.col("_end"), F.lit(policy.tail_s)).otherwise(F.lit(0))
-    return cut.where(lasting).select("video_session_id", "_run", "seg_start", F.col("p").alias("seg_end"), F.col("seg_start").alias("start_s"), (F.col("p") + tail).alias("end_s")).distinct()
+    rows = with_runs(events, policy).where("_from is not null")
+    return rows.select("video_session_id", "_run", F.col("_from").alias("seg_start"), F.col("_to").alias("seg_end"), F.col("_from").alias("start_s"), (F.col("_to") + F.col("_tail")).alias("end_s")).distinct()
 
 
 def _votes(attributed: DataFrame) -> DataFrame:
     """The most frequent value of each column within a segment, the smallest on a tie."""
     modes = [F.expr(f"mode() within group (order by {c})").alias(c) for c in VOTED]
-    return attributed.groupBy("video_session_id", "start_s", "end_s").agg(*modes, F.count(F.lit(1)).alias("_events"))
+    return attributed.groupBy("video_session_id", "start_s", "end_s").agg(*modes, F.count(F.lit(1)).alias("_events"), F.first("is_open").alias("is_open"))
 
 
 def _map_votes(attributed: DataFrame, totals: DataFrame) -> DataFrame:
@@ -78,14 +134,11 @@ def derive_intervals(events: DataFrame, policy: Policy, build_version: int = 1)
     Events at both ends of a segment vote, those under the tail don't. A session is open if it has no
     VideoSessionEnd. Events must have a session, a time and a (maybe empty) map ``extra``.
     """
-    runs = with_runs(events, policy)
-    segs = segments(events, policy)
-    voters = runs.select("video_session_id", "_run", "ts_s", *VOTED, "extra")
-    attributed = segs.join(voters, ["video_session_id", "_run"]).where("ts_s between seg_start and seg_end")
+    runs = with_runs(events, policy).withColumn("is_open", F.max((F.col("event_type") == "VideoSessionEnd").cast("int")).over(_Frames().session) == 0)
+    attributed = runs.where("_from is not null").withColumn("start_s", F.col("_from")).withColumn("end_s", F.col("_to") + F.col("_tail"))
     votes = _votes(attributed)
     keys = ["video_session_id", "start_s", "end_s"]
-    state = events.groupBy("video_session_id").agg((F.max((F.col("event_type") == "VideoSessionEnd").cast("int")) == 0).alias("is_open"))
-    out = votes.join(_map_votes(attributed, votes), keys, "left").join(state, "video_session_id")
+    out = votes.join(_map_votes(attributed, votes), keys, "left")
     extras = F.coalesce("extra_dimensions", F.create_map().cast("map<string,string>"))
     return out.select("video_session_id", *VOTED, extras.alias("extra_dimensions"), "start_s", "end_s", "is_open", F.lit(build_version).cast("long").alias("build_version"))
 

@@ -28,17 +28,21 @@ class Model:
     @cached_property
     def deltas(self) -> DataFrame:
         """Partitioned by day, so a range reads its days only."""
-        day = F.floor(F.col("minute") / 86400) * 86400
-        return written(minute_deltas(self.intervals).withColumn("day", day).repartition("day").sortWithinPartitions("minute"), "deltas", "day")
+        return _by_day(minute_deltas(self.intervals), "minute", "deltas", "minute")
 
     @cached_property
     def hours(self) -> DataFrame:
-        day = F.floor(F.col("hour") / 86400) * 86400
-        return written(hour_rollup(self.deltas).withColumn("day", day).repartition("day").sortWithinPartitions("cube_level", "hour"), "hours", "day")
+        return _by_day(hour_rollup(self.deltas), "hour", "hours", "cube_level", "hour")
 
     @cached_property
     def users(self) -> DataFrame:
-        return written(user_minutes(self.intervals).withColumn("day", F.floor(F.col("minute") / 86400) * 86400).repartition("day"), "users", "day")
+        return _by_day(user_minutes(self.intervals), "minute", "users", "minute")
+
+
+def _by_day(rows: DataFrame, at: str, name: str, *order: str) -> DataFrame:
+    """A tier in folders by day: small days of a task together, large ones dealt over as many tasks as their size asks for."""
+    days = rows.withColumn("day", F.floor(F.col(at) / 86400) * 86400)
+    return written(days.hint("rebalance", "day").sortWithinPartitions("day", *order), name, "day")
 
 
 #: The driver's events are far sparser than a player's: a longer silence and tail give runs of several events.
