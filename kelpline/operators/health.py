@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kelpline.functions import normalise as n
 from kelpline.operators.minutes import change_curve, expanded, minute, naive_curve, stateless_curve
 from kelpline.policy import Policy
+from kelpline.sources.schema import VOCABULARY
 
 
 def watermark(events: DataFrame, deltas: DataFrame, hours: DataFrame) -> DataFrame:
@@ -88,29 +89,65 @@ def preprocess_summary(events: DataFrame) -> DataFrame:
     return counts.crossJoin(flag_counts(events).agg(F.count(F.lit(1)).alias("flag_classes_present")))  # one row each
 
 
-def contract_report(events: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Named probes of the source: (probe, severity, value, verdict). A FAIL probe with a value above zero fails; WARN and INFO never do."""
-    sid, uid, ts = F.col("video_session_id"), F.col("user_id"), F.col("ts_s")
-    count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
-    known = ("VideoHeartbeat", "AppBackgrounded", "AppForegrounded", "VideoPlay", "VideoSessionEnd", "VideoSessionStart", "VideoError")
-    row_probes = {
-        ("rows", "INFO"): F.count(F.lit(1)), ("sessions", "INFO"): F.countDistinct(sid), ("users", "INFO"): F.countDistinct(uid),
-        ("first_event_s", "INFO"): F.coalesce(F.min(ts), F.lit(0)), ("last_event_s", "INFO"): F.coalesce(F.max(ts), F.lit(0)),
-        ("empty_source", "FAIL"): (F.count(F.lit(1)) == 0).cast("long"), ("session_id_unusable", "FAIL"): count(F.coalesce(F.trim(n.norm_scrub(sid)), F.lit("")) == ""),
-        ("identity_not_utf8", "FAIL"): count(~n.valid_utf8(sid) | ~n.valid_utf8(uid)), ("ts_out_of_range", "FAIL"): count(~n.ts_in_range(ts)),
-        ("ts_null", "FAIL"): count(ts.isNull()), ("user_id_empty", "WARN"): count(F.coalesce(uid, F.lit("")) == ""), ("unknown_event_type", "WARN"): count(~F.col("event_type").isin(*known)),
-        ("content_id_null", "WARN"): count(F.col("content_id").isNull()), ("content_id_rollup_sentinel", "WARN"): count(F.col("content_id") == -1),
-        ("platform_rollup_sentinel", "WARN"): count(F.col("platform") == "*"), ("country_rollup_sentinel", "WARN"): count(F.col("country") == "*"),
-        ("platform_empty", "WARN"): count(F.col("platform") == ""), ("country_empty", "WARN"): count(F.col("country") == ""), ("app_version_empty", "WARN"): count(F.col("app_version") == ""),
-        ("audio_language_unknown", "INFO"): count(n.lang_class(F.col("audio_language")) == "unknown"), ("pauses", "INFO"): count(F.col("event") == "pause"), ("resumes", "INFO"): count(F.col("event") == "resume"),
-        ("session_ends", "INFO"): count(F.col("event_type") == "VideoSessionEnd"),
+#: Probes of the source in order, with their severity.
+PROBES = (
+    ("source_empty", "FAIL"), ("time_out_of_range", "FAIL"), ("session_start_zero", "FAIL"), ("identity_empty", "FAIL"), ("event_type_unknown", "FAIL"), ("columns_missing", "FAIL"),
+    ("columns_extra", "WARN"), ("event_unknown", "WARN"), ("session_id_reused", "WARN"), ("events_before_session_start", "WARN"), ("events_in_future", "WARN"), ("end_before_start", "WARN"),
+    ("several_ends", "WARN"), ("dimensions_tied", "WARN"), ("duplicate_rows", "WARN"), ("content_id_sentinel", "WARN"), ("key_sentinel", "WARN"), ("content_without_catalog", "WARN"),
+    ("catalog_conflicts", "WARN"), ("dimensions_empty", "WARN"), ("rows", "INFO"), ("sessions", "INFO"), ("span_minutes", "INFO"), ("event_types", "INFO"), ("contents", "INFO"),
+)
+_CONTRACT = ("content_id", "video_session_id", "user_id", "event_type", "event", "ts_s", "platform", "app_version", "country", "audio_language", "subtitle_language", "player_version", "session_start_s")
+#: Event times in 2020 to 2035.
+_FIRST_S, _PAST_S = 1_577_836_800, 2_082_758_400
+
+
+def contract_report(events: DataFrame, catalog: DataFrame, *, now_s: int | None = None, vocabulary: dict[str, tuple[str, ...]] = VOCABULARY) -> DataFrame:
+    """Named probes of the source: (probe, severity, value, note, verdict). A FAIL probe with a value above zero fails; WARN ones warn, INFO never does.
+
+    Columns that ``events`` lacks are told by ``columns_missing`` and count for nothing elsewhere. ``now_s`` is the time
+    that events in the future are told by, the current one if not given. Nulls count as empty or absent values.
+    """
+    missing = [c for c in _CONTRACT if c not in events.columns]
+    extra = [c for c in events.columns if c not in (*_CONTRACT, "extra")]
+    rows = events.withColumns({c: F.lit(None).cast("long" if c in ("content_id", "ts_s", "session_start_s") else "string") for c in missing}) if missing else events
+    c, text = F.col, lambda name: F.coalesce(F.col(name), F.lit(""))
+    count = lambda x: F.count_if(F.coalesce(x, F.lit(False)))
+    now = F.lit(now_s).cast("long") if now_s is not None else F.unix_timestamp(F.current_timestamp())
+    kind = text("event_type")
+    known = reduce(lambda a, b: a | b, [(kind == t) & text("event").isin(*names) for t, names in vocabulary.items()], F.lit(False))
+    typed = kind.isin(*vocabulary)
+    dims = ("platform", "country", "app_version", "audio_language", "subtitle_language", "player_version", "event")
+    given = lambda name: name not in missing
+    none = F.lit(0)
+    one = rows.agg(
+        F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) == 0).cast("long").alias("source_empty"), count(~((c("ts_s") >= _FIRST_S) & (c("ts_s") < _PAST_S)) | c("ts_s").isNull()).alias("time_out_of_range"),
+        count(c("session_start_s") == 0).alias("session_start_zero"), count((text("video_session_id") == "") | (text("user_id") == "")).alias("identity_empty"), count(~typed).alias("event_type_unknown"),
+        count(typed & ~known).alias("event_unknown"), count(c("ts_s") > now + 300).alias("events_in_future"), count(c("content_id") == -1).alias("content_id_sentinel"),
+        count((c("platform") == "*") | (c("country") == "*")).alias("key_sentinel"), F.countDistinct("video_session_id").alias("sessions"), F.countDistinct("event_type").alias("event_types"), F.countDistinct("content_id").alias("contents"),
+        F.coalesce(F.floor(F.max("ts_s") / 60) - F.floor(F.min("ts_s") / 60), none).alias("span_minutes"), F.lit(len(missing)).alias("columns_missing"), F.lit(len(extra)).alias("columns_extra"),
+        F.array_join(F.array(*[F.when((F.count(F.lit(1)) > 0) & (count(text(d) == "") == F.count(F.lit(1))), d) for d in dims if given(d)]), ", ").alias("_empty"),
+        F.countDistinct("user_id").alias("_users"), F.min("ts_s").alias("_from"), F.max("ts_s").alias("_to"), F.countDistinct("platform").alias("_platforms"), F.countDistinct("country").alias("_countries"),
+    )
+    at = lambda name: F.min(F.when(kind == name, c("ts_s")))
+    shape = rows.groupBy("video_session_id").agg(F.min("ts_s").alias("t"), F.min("session_start_s").alias("s"), F.countDistinct("session_start_s").alias("n"), at("VideoSessionStart").alias("a"), at("VideoSessionEnd").alias("b"), F.count_if(kind == "VideoSessionEnd").alias("ends"))
+    shape = shape.agg(count(c("n") > 1).alias("session_id_reused"), count(c("t") < c("s")).alias("events_before_session_start"), count(c("b") < c("a")).alias("end_before_start"), count(c("ends") > 1).alias("several_ends"))
+    tied = rows.groupBy("video_session_id", "ts_s").agg(*[F.countDistinct(d).alias(d) for d in ("platform", "country", "content_id")])
+    tied = tied.agg(count((c("platform") > 1) | (c("country") > 1) | (c("content_id") > 1)).alias("dimensions_tied"), F.count(F.lit(1)).alias("_groups"))
+    twice = rows.groupBy(*_CONTRACT).count().agg(F.coalesce(F.sum(c("count") - 1), none).alias("duplicate_rows"))
+    lost = rows.join(catalog.select("content_id").distinct(), "content_id", "left_anti").agg(F.countDistinct("content_id").alias("content_without_catalog"))
+    clash = catalog.groupBy("content_id").agg(F.countDistinct(F.struct("title", "video_type", "category")).alias("n")).agg(count(c("n") > 1).alias("catalog_conflicts"))
+    kinds = rows.groupBy(kind.alias("k")).count().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-c("count")).alias("n"), "k"))), lambda x: F.concat_ws(":", x["k"], (-x["n"]).cast("string"))), " ").alias("_kinds"))
+    all_ = reduce(lambda a, b: a.crossJoin(b), [shape, tied, twice, lost, clash, kinds], one)  # one row each
+    all_ = all_.withColumn("dimensions_empty", F.when(c("_empty") == "", 0).otherwise(F.size(F.split("_empty", ", "))))
+    span = F.concat_ws(" to ", c("_from").cast("string"), c("_to").cast("string"))
+    notes = {
+        "time_out_of_range": span, "columns_missing": F.lit(", ".join(missing)), "columns_extra": F.lit(", ".join(extra)), "dimensions_tied": F.concat(F.round(c("dimensions_tied") * 100 / F.greatest(c("_groups"), F.lit(1)), 4).cast("string"), F.lit("% of groups")),
+        "dimensions_empty": c("_empty"), "sessions": F.concat(c("_users").cast("string"), F.lit(" users")), "span_minutes": span, "event_types": c("_kinds"),
+        "contents": F.concat(F.lit("platforms "), c("_platforms").cast("string"), F.lit(", countries "), c("_countries").cast("string")),
     }
-    one = events.agg(*[c.cast("long").alias(k) for (k, _), c in row_probes.items()])
-    found = one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("probe"), F.lit(s).alias("severity"), F.col(k).alias("value")) for k, s in row_probes])).alias("p")).select("p.*")
-    lost = events.join(catalog.select("content_id").distinct(), "content_id", "left_anti").agg(F.countDistinct("content_id").alias("value")).select(F.lit("content_without_catalog").alias("probe"), F.lit("WARN").alias("severity"), "value")
-    twice = events.groupBy("video_session_id", "ts_s", "event_type", "event", "content_id", "user_id").count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("value")).select(F.lit("duplicate_rows").alias("probe"), F.lit("WARN").alias("severity"), "value")
-    rows = found.unionByName(lost).unionByName(twice)
-    return rows.withColumn("verdict", F.when((F.col("severity") == "FAIL") & (F.col("value") > 0), "FAIL").when((F.col("severity") == "WARN") & (F.col("value") > 0), "WARN").otherwise("OK"))
+    each = F.array(*[F.struct(F.lit(p).alias("probe"), F.lit(s).alias("severity"), c(p).cast("long").alias("value"), notes.get(p, F.lit("")).alias("note")) for p, s in PROBES])
+    said = F.when(c("value") == 0, "OK").when(c("severity") == "FAIL", "FAIL").when(c("severity") == "WARN", "WARN").otherwise("OK")
+    return all_.select(F.explode(each).alias("p")).select("p.*").withColumn("verdict", said)
 
 
 def minute_event_counts(events: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -12,7 +13,7 @@ from kelpline.operators.hours import hour_rollup
 from kelpline.operators.intervals import derive_intervals
 from kelpline.operators.minutes import minute_deltas, user_minutes
 from kelpline.policy import Policy
-from kelpline.sources.workspace import written
+from kelpline.sources.workspace import removed, shared_dir, written
 
 
 @dataclass
@@ -21,36 +22,52 @@ class Model:
     catalog: DataFrame
     policy: Policy
 
+    @cached_property
+    def folder(self) -> str:
+        return f"{shared_dir(self.events.sparkSession)}/kelpline/model-{uuid.uuid4().hex}"
+
+    def release(self) -> None:
+        """Delete the tiers; results that still read them become invalid."""
+        if "folder" in self.__dict__:
+            removed(self.events.sparkSession, self.folder)
+            for name in ("folder", "intervals", "deltas", "hours", "users"):
+                self.__dict__.pop(name, None)
+
     @cached_property
     def intervals(self) -> DataFrame:
-        return written(derive_intervals(self.events, self.policy), "intervals")
+        return written(derive_intervals(self.events, self.policy), f"{self.folder}/intervals")
 
     @cached_property
     def deltas(self) -> DataFrame:
         """Partitioned by day, so a range reads its days only."""
-        return _by_day(minute_deltas(self.intervals), "minute", "deltas", "minute")
+        return _by_day(minute_deltas(self.intervals), "minute", f"{self.folder}/deltas", "minute")
 
     @cached_property
     def hours(self) -> DataFrame:
-        return _by_day(hour_rollup(self.deltas), "hour", "hours", "cube_level", "hour")
+        return _by_day(hour_rollup(self.deltas), "hour", f"{self.folder}/hours", "cube_level", "hour")
 
     @cached_property
     def users(self) -> DataFrame:
-        return _by_day(user_minutes(self.intervals), "minute", "users", "minute")
+        return _by_day(user_minutes(self.intervals), "minute", f"{self.folder}/users", "minute")
 
 
-def _by_day(rows: DataFrame, at: str, name: str, *order: str) -> DataFrame:
+def _by_day(rows: DataFrame, at: str, path: str, *order: str) -> DataFrame:
     """A tier in folders by day: small days of a task together, large ones dealt over as many tasks as their size asks for."""
     days = rows.withColumn("day", F.floor(F.col(at) / 86400) * 86400)
-    return written(days.hint("rebalance", "day").sortWithinPartitions("day", *order), name, "day")
+    return written(days.hint("rebalance", "day").sortWithinPartitions("day", *order), path, "day")
 
 
+#: Added to a content's number where the catalog is to have no row of it.
+UNLISTED = 1_000_000_000
 #: The driver's events are far sparser than a player's: a longer silence and tail give runs of several events.
 SPARSE = Policy(gap_s=14_400, tail_s=600, minute_cover_s=240)
 
 
 def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``events`` as player events: user_id is the session, two sessions a user, props.k the dimensions."""
+    """The driver's ``events`` as player events: user_id is the session, two sessions a user, props.k the dimensions.
+
+    Contents are numbered by k and the session; of each twenty two are contents whose ids no part has.
+    """
     raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("long")
     rows = raw.select("event_id", "user_id", "event_type", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("ts_s"), k.alias("k"))
@@ -59,7 +76,7 @@ def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("k") % len(values) + 1).cast("int"))
     resolution = F.create_map(F.lit("video_resolution"), pick("720p", "1080p", "480p", ""))
     return rows.select(
-        (F.col("k") % 20 + 1).alias("content_id"), F.concat(F.lit("s"), F.col("user_id")).alias("video_session_id"), F.concat(F.lit("u"), F.floor(F.col("user_id") / 2)).alias("user_id"),
+        (F.col("k") % 20 + 1 + F.when(F.col("k") % 20 < 18, F.col("user_id") % 5 * 20).otherwise(UNLISTED)).cast("long").alias("content_id"), F.concat(F.lit("s"), F.col("user_id")).alias("video_session_id"), F.concat(F.lit("u"), F.floor(F.col("user_id") / 2)).alias("user_id"),
         kind.alias("event_type"), name.alias("event"), "ts_s", F.concat(F.lit("p"), F.col("k") % 4).alias("platform"), F.concat(F.lit("5.0."), F.col("k") % 3, F.lit(".00")).alias("app_version"),
         F.concat(F.lit("c"), F.col("user_id") % 3).alias("country"), pick("hin", "HIN", "hin-Hindi", "eng", "OFF").alias("audio_language"), pick("eng", "none").alias("subtitle_language"),
         pick("pv1", "PV1", "pv2").alias("player_version"), F.when(F.col("k") % 3 != 0, resolution).otherwise(F.create_map().cast("map<string,string>")).alias("extra"), (F.col("ts_s") - F.col("k")).alias("session_start_s"),
@@ -67,18 +84,31 @@ def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 18 parts as a catalog: contents 19 and 20 have no row, some values are blank."""
-    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").where("p_partkey between 1 and 18")
+    """All parts as a catalog; titles are shared, some values are blank."""
+    part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet")
     key = F.col("p_partkey")
-    return part.select(key.alias("content_id"), F.concat(F.lit("title "), key % 7).alias("title"), F.when(key % 6 == 0, "").when(key % 2 == 0, "live").otherwise("vod").alias("video_type"), F.concat(F.lit("cat"), key % 3).alias("category"), F.concat(F.lit("show"), key % 4).alias("show_name"))
+    return part.select(key.cast("long").alias("content_id"), F.concat(F.lit("title "), key % 7).alias("title"), F.when(key % 6 == 0, "").when(key % 2 == 0, "live").otherwise("vod").alias("video_type"), F.concat(F.lit("cat"), key % 3).alias("category"), F.concat(F.lit("show"), key % 4).alias("show_name"))
 
 
 _MODELS: dict[tuple[str, str], Model] = {}
+_SEEN: dict[tuple[str, str], tuple] = {}
+
+
+def _written_at(spark: SparkSession, path: str) -> tuple:
+    """Length and time of the files at ``path``, by which changed data are told from those seen before."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p))
 
 
 def model_of(spark: SparkSession, sf_dir: str) -> Model:
-    """The tiers of a folder, built by the first query of a session that needs them."""
+    """The tiers of a folder, built by the first query of a session that needs them, and anew if its files have changed."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = Model(events_of(spark, sf_dir), catalog_of(spark, sf_dir), SPARSE)
+    if key in _MODELS and key not in _SEEN:  # one that was put there
+        return _MODELS[key]
+    seen = tuple(_written_at(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("events", "part"))
+    if _SEEN.get(key) != seen:
+        if key in _MODELS:
+            _MODELS[key].release()
+        _MODELS[key], _SEEN[key] = Model(events_of(spark, sf_dir), catalog_of(spark, sf_dir), SPARSE), seen
     return _MODELS[key]

@@ -16,7 +16,7 @@ def base(policy: Policy) -> str:
 WITH raw AS (
   SELECT event_id, user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS ts_s, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events
 ), ev AS (
-  SELECT event_id, k % 20 + 1 AS content_id, 's' || user_id AS sid, 'u' || (user_id // 2) AS user_id, ts_s,
+  SELECT event_id, k % 20 + 1 + CASE WHEN k % 20 < 18 THEN user_id % 5 * 20 ELSE 1000000000 END AS content_id, 's' || user_id AS sid, 'u' || (user_id // 2) AS user_id, ts_s,
     CASE WHEN event_type = 'error' AND k < 20 THEN 'VideoSessionEnd' WHEN event_type = 'error' THEN 'VideoError'
          WHEN event_type IN ('purchase', 'signup') THEN 'VideoPlay' ELSE 'VideoHeartbeat' END AS event_type,
     CASE event_type WHEN 'purchase' THEN 'pause' WHEN 'signup' THEN 'resume' ELSE 'beat' END AS event,
@@ -26,7 +26,7 @@ WITH raw AS (
   FROM raw
 ), cat AS (
   SELECT p_partkey AS content_id, 'title ' || (p_partkey % 7) AS title, CASE WHEN p_partkey % 6 = 0 THEN '' WHEN p_partkey % 2 = 0 THEN 'live' ELSE 'vod' END AS video_type,
-    'cat' || (p_partkey % 3) AS category, 'show' || (p_partkey % 4) AS show_name FROM part WHERE p_partkey BETWEEN 1 AND 18
+    'cat' || (p_partkey % 3) AS category, 'show' || (p_partkey % 4) AS show_name FROM part
 ), runs0 AS (
   SELECT *, sum(fresh) OVER (PARTITION BY sid ORDER BY ts_s, event_id) AS run FROM (
     SELECT *, CASE WHEN ts_s - lag(ts_s) OVER (PARTITION BY sid ORDER BY ts_s, event_id) > {policy.gap_s} THEN 1 ELSE 0 END AS fresh FROM ev)

@@ -12,11 +12,12 @@ from kelpline.operators import catalog as C
 from kelpline.operators import health as H
 from kelpline.operators import hours as R
 from kelpline.operators import intervals as I
+from kelpline.operators import invariants as V
 from kelpline.operators import minutes as M
 from kelpline.operators import reconcile as G
 from kelpline.plans.model import SPARSE, Model, model_of
 from kelpline.plans.oracle import base, by_minute, peak
-from kelpline.sources.schema import DIMS, KEYS
+from kelpline.sources.schema import DIMS, KEYS, VOCABULARY
 
 BASE = base(SPARSE)
 DAY = 1_704_844_800  # 2024-01-10
@@ -115,7 +116,16 @@ for _name in ("b13_hour_top_content", "s13_hour_top_content"):
     register(_name, lambda m: _top(m, R.hour_view(M.within(m.hours, "hour", HOUR, HOUR + 3600), R.CONTENT), "hour"), _TOP.format(_CONTENT_HOUR))
 register("s04_day_top_content", lambda m: _top(m, R.day_view(m.hours, R.CONTENT).where(F.col("day") == DAY), "day"), _TOP.format(_day_sql("content_id", f"minute >= {DAY} AND minute < {NEXT}")))
 
-_SERIES = f"(SELECT minute, max(c) AS c FROM (SELECT minute, c FROM {by_minute()} UNION ALL SELECT h + 3600 + 60 * i, 0 FROM (SELECT DISTINCT minute // 3600 * 3600 AS h FROM delta), (SELECT unnest(range(0, 60)) AS i) UNION ALL SELECT a.minute, 0 FROM (SELECT DISTINCT minute // 3600 * 3600 AS h, min(minute) AS f FROM delta GROUP BY 1) b, LATERAL (SELECT unnest(range(b.f, b.h + 3600, 60)) AS minute) a) GROUP BY minute)"
+def _series(by: str = "") -> str:
+    """Minutes in which a level holds, zeros from the first change of an hour to its end and through the next hour."""
+    keys = f"{by}, " if by else ""
+    return f"""(SELECT {keys}minute, max(c) AS c FROM (
+  SELECT {keys}minute, c FROM {by_minute(by)}
+  UNION ALL SELECT {keys}h + 3600 + 60 * i, 0 FROM (SELECT DISTINCT {keys}minute // 3600 * 3600 AS h FROM delta), (SELECT unnest(range(0, 60)) AS i)
+  UNION ALL SELECT {keys}m, 0 FROM (SELECT {keys}unnest(range(f, h + 3600, 60)) AS m FROM (SELECT {keys}minute // 3600 * 3600 AS h, min(minute) AS f FROM delta GROUP BY ALL))) GROUP BY ALL)"""
+
+
+_SERIES = _series()
 # --- minute curves
 _IN_HOUR, _ON_DAY = f"minute >= {HOUR} AND minute < {HOUR + 3600}", f"minute >= {DAY} AND minute < {NEXT}"
 
@@ -203,10 +213,10 @@ register("amb02_day_readings", lambda m: R.day_view(m.hours, 0).where(F.col("day
 
 # --- windows over the series
 register("v10_series_total", lambda m: M.minute_series(m.deltas), f"SELECT minute, c AS concurrent FROM {_SERIES}")
-register("v10_series_dim", lambda m: M.minute_series(m.deltas, KEYS).where("concurrent > 0"), f"SELECT platform, country, content_id, minute, c AS concurrent FROM {by_minute('platform, country, content_id')}")
+register("v10_series_dim", lambda m: M.minute_series(m.deltas, KEYS), f"SELECT platform, country, content_id, minute, c AS concurrent FROM {_series('platform, country, content_id')}")
 for _w in (5, 15, 60):
     register(f"v12_tumbling_{_w}", lambda m, w=_w: R.tumbling(M.minute_series(m.deltas), w), f"SELECT minute // {60 * _w} * {60 * _w} AS window_start, minute // {60 * _w} * {60 * _w} + {60 * _w} AS window_end, {_w} AS window_minutes, max(c) AS peak, CAST(arg_min(minute, (-c, minute)) AS BIGINT) AS peak_minute, CAST(sum(c) * 60 AS BIGINT) AS integral, CAST(sum(c) * 60 AS DOUBLE) / {60 * _w} AS avg_concurrent, count(*) AS obs_minutes FROM {_SERIES} GROUP BY ALL")
-register("v12_tumbling_dim_15", lambda m: R.tumbling(M.minute_series(m.deltas, ("platform",)).where("concurrent > 0"), 15, ("platform",)), f"SELECT platform, minute // 900 * 900 AS window_start, minute // 900 * 900 + 900 AS window_end, 15 AS window_minutes, max(c) AS peak, CAST(arg_min(minute, (-c, minute)) AS BIGINT) AS peak_minute, CAST(sum(c) * 60 AS BIGINT) AS integral, CAST(sum(c) * 60 AS DOUBLE) / 900 AS avg_concurrent, count(*) AS obs_minutes FROM {by_minute('platform')} GROUP BY ALL")
+register("v12_tumbling_dim_15", lambda m: R.tumbling(M.minute_series(m.deltas, ("platform",)), 15, ("platform",)), f"SELECT platform, minute // 900 * 900 AS window_start, minute // 900 * 900 + 900 AS window_end, 15 AS window_minutes, max(c) AS peak, CAST(arg_min(minute, (-c, minute)) AS BIGINT) AS peak_minute, CAST(sum(c) * 60 AS BIGINT) AS integral, CAST(sum(c) * 60 AS DOUBLE) / 900 AS avg_concurrent, count(*) AS obs_minutes FROM {_series('platform')} GROUP BY ALL")
 register("v13_tumbling_hour", lambda m: R.hour_view(m.hours, 7).select(*KEYS, F.col("hour").alias("window_start"), (F.col("hour") + 3600).alias("window_end"), "peak", "peak_minute", "integral", "avg_concurrent"), f"SELECT platform, country, content_id, hour AS window_start, hour + 3600 AS window_end, peak, peak_minute, integral, avg_concurrent FROM ({_hour_sql('(SELECT *, minute // 3600 * 3600 AS hour FROM ' + by_minute('platform, country, content_id') + ')', 'true', 'platform, country, content_id')})")
 
 
@@ -218,7 +228,7 @@ def _rolling_sql(source: str, by: str = "") -> str:
 
 
 register("v11_rolling_total", lambda m: R.rolling(M.minute_series(m.deltas)), _rolling_sql(_SERIES))
-register("v11_rolling_platform", lambda m: R.rolling(M.minute_series(m.deltas, ("platform",)).where("concurrent > 0"), ("platform",)), _rolling_sql(by_minute("platform"), "platform"))
+register("v11_rolling_platform", lambda m: R.rolling(M.minute_series(m.deltas, ("platform",)), ("platform",)), _rolling_sql(_series("platform"), "platform"))
 
 # --- users
 _UC = "count(DISTINCT user_id)"
@@ -243,7 +253,7 @@ register("m02_runs", lambda m: I.with_runs(m.events, m.policy).groupBy("video_se
 register("m03_pause_windows", lambda m: I.pause_windows(I.with_runs(m.events, m.policy), m.policy).select("video_session_id", "p", "e"), "SELECT sid AS video_session_id, p, e FROM wins")
 register("m07_merged_runs", lambda m: M.merged_runs(m.intervals, "video_session_id").select("video_session_id", "first_m", "last_m", *DIMS), f"SELECT sid AS video_session_id, sm AS first_m, em AS last_m, {', '.join(DIMS)} FROM mr")
 register("m08_minute_deltas", lambda m: m.deltas.drop("day"), "SELECT * FROM delta")
-register("m09_user_minutes", lambda m: m.users.groupBy("platform").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("user_id").alias("users"), F.min("minute").alias("first"), F.max("minute").alias("last")), "SELECT platform, count(*) AS rows, count(DISTINCT user_id) AS users, min(minute) AS first, max(minute) AS last FROM um GROUP BY platform")
+register("m09_user_minutes", lambda m: m.users.drop("day"), "SELECT minute, platform, country, content_id, user_id FROM um")
 register("m10_expansion_total", lambda m: M.expanded(m.intervals), f"SELECT minute, c AS concurrent FROM {by_minute()}")
 register("m10_expansion_dims", lambda m: M.expanded(m.intervals, KEYS), "SELECT minute, platform, country, content_id, count(DISTINCT sid) AS concurrent FROM (SELECT sid, platform, country, content_id, unnest(range(sm, em + 60, 60)) AS minute FROM im) GROUP BY ALL")
 _NAIVE = "(SELECT minute, count(DISTINCT sid) AS c FROM (SELECT sid, unnest(range(min(ts_s) // 60 * 60, (max(ts_s) - 1) // 60 * 60 + 1, 60)) AS minute FROM ev GROUP BY sid) GROUP BY minute)"
@@ -252,18 +262,21 @@ register("m11_naive", lambda m: M.naive_curve(m.events), f"SELECT minute, c AS c
 register("m12_stateless", lambda m: M.stateless_curve(m.events), f"SELECT minute, c AS concurrent FROM {_STATELESS}")
 register("m12_stateless_dims", lambda m: M.stateless_curve(m.events, KEYS), "SELECT ts_s // 60 * 60 AS minute, platform, country, content_id, count(DISTINCT sid) AS concurrent FROM ev WHERE event_type IN ('VideoHeartbeat', 'VideoPlay') GROUP BY ALL")
 _DRILL = ("minute", "video_session_id", "user_id", "platform", "country", "content_id", "title", "video_type", "category", "show_name", "app_version", "audio_language", "subtitle_language", "player_version", "video_resolution")
-register("m13_session_minutes", lambda m: C.session_minutes(m.intervals, m.catalog).where(_ON_DAY).select(*_DRILL), f"SELECT {', '.join(_DRILL)} FROM drill WHERE {_ON_DAY}")
+register("m13_session_minutes", lambda m: C.session_minutes(m.intervals, m.catalog).select(*_DRILL), f"SELECT {', '.join(_DRILL)} FROM drill")
 register("m15_as_of", lambda m: I.as_of(m.events, DAY, m.policy).select("video_session_id", "start_s", "end_s"), None)
 _SQL["m15_as_of"] = BASE.replace("FROM events\n", f"FROM events WHERE epoch(ts) < {DAY}\n") + "SELECT sid AS video_session_id, start_s, end_s FROM iv"
-register("v16_dimension_values", lambda m: C.dimension_values(C.session_minutes(m.intervals, m.catalog)).where(_ON_DAY), f"SELECT minute, video_session_id, user_id, 'video_resolution' AS dimension_name, extra_resolution AS dimension_value FROM drill WHERE extra_resolution IS NOT NULL AND {_ON_DAY}")
+register("v16_dimension_values", lambda m: C.dimension_values(C.session_minutes(m.intervals, m.catalog)), "SELECT minute, video_session_id, user_id, 'video_resolution' AS dimension_name, extra_resolution AS dimension_value FROM drill WHERE extra_resolution IS NOT NULL")
 _ATTRS = " UNION ALL ".join(f"SELECT minute, video_session_id, user_id, content_id, '{a}' AS dimension_name, {a} AS dimension_value FROM drill" for a in C.ATTRIBUTES)
-register("v16_content_values", lambda m: C.content_dimension_values(C.session_minutes(m.intervals, m.catalog)).where(_IN_HOUR), f"SELECT * FROM ({_ATTRS}) WHERE {_IN_HOUR}")
+register("v16_content_values", lambda m: C.content_dimension_values(C.session_minutes(m.intervals, m.catalog)), _ATTRS)
 register("v16_profile", lambda m: C.dimension_profile(C.session_minutes(m.intervals, m.catalog)), f"SELECT 'event' AS dimension_source, 'video_resolution' AS dimension_name, count(*) AS source_rows, count(*) FILTER (WHERE extra_resolution <> '') AS non_empty_rows, count(DISTINCT extra_resolution) AS distinct_values, count(DISTINCT video_session_id) AS distinct_entities FROM drill WHERE extra_resolution IS NOT NULL UNION ALL SELECT 'content', dimension_name, count(*), count(*) FILTER (WHERE dimension_value <> ''), count(DISTINCT dimension_value), count(DISTINCT content_id) FROM ({_ATTRS}) GROUP BY dimension_name")
 
 # --- checks and reports
-_GATE = f"SELECT s.minute, coalesce(l.c, 0) AS truth, coalesce(l.c, 0) AS served, CAST(0 AS BIGINT) AS diff FROM (SELECT unnest(range((SELECT min(minute) // 3600 * 3600 FROM delta), (SELECT greatest(max(d.minute), (SELECT max(minute) FROM mins)) FROM delta d) + 60, 60)) AS minute) s LEFT JOIN {by_minute()} l ON l.minute = s.minute"
+_GATE = f"""SELECT s.minute, CAST(coalesce(l.c, 0) AS BIGINT) AS truth, CAST(sum(coalesce(d.d, 0)) OVER (PARTITION BY s.minute // 3600 ORDER BY s.minute) AS BIGINT) AS served, CAST(sum(coalesce(d.d, 0)) OVER (PARTITION BY s.minute // 3600 ORDER BY s.minute) - coalesce(l.c, 0) AS BIGINT) AS diff
+  FROM (SELECT unnest(range((SELECT min(minute) // 3600 * 3600 FROM delta), (SELECT greatest(max(d.minute), (SELECT max(em) FROM im)) FROM delta d) + 60, 60)) AS minute) s
+  LEFT JOIN (SELECT minute, count(DISTINCT sid) AS c FROM (SELECT sid, unnest(range(sm, em + 60, 60)) AS minute FROM im) GROUP BY minute) l ON l.minute = s.minute
+  LEFT JOIN (SELECT minute, sum(delta) AS d FROM delta GROUP BY minute) d ON d.minute = s.minute"""
 register("x01_gate_minutes", lambda m: G.compare(m.events, m.deltas, m.policy), _GATE)
-register("h08_gate_verdict", lambda m: G.verdict(G.compare(m.events, m.deltas, m.policy), m.policy).drop("policy"), f"SELECT count(*) AS minutes_compared, CAST(0 AS BIGINT) AS mismatched, CAST(0 AS BIGINT) AS max_abs_diff, max(truth) AS peak, 'PASS' AS verdict FROM ({_GATE})")
+register("h08_gate_verdict", lambda m: G.verdict(G.compare(m.events, m.deltas, m.policy), m.policy).drop("policy"), f"SELECT count(*) AS minutes_compared, count(*) FILTER (WHERE diff <> 0) AS mismatched, max(abs(diff)) AS max_abs_diff, max(truth) AS peak, CASE WHEN count(*) = 0 THEN 'EMPTY' WHEN count(*) FILTER (WHERE diff <> 0) = 0 THEN 'PASS' ELSE 'MISMATCH' END AS verdict FROM ({_GATE})")
 register("x02_integral_crosscheck", lambda m: R.hour_view(m.hours, 0).where(_IN_DAY).agg(F.sum("integral").alias("hour_tier")).crossJoin(M.expanded(m.intervals).where(_ON_DAY).agg((F.sum("concurrent") * 60).alias("session_minutes"))), f"SELECT CAST(count(*) * 60 AS BIGINT) AS hour_tier, CAST(count(*) * 60 AS BIGINT) AS session_minutes FROM mins WHERE {_ON_DAY}")
 register(
     "x04_extent",
@@ -271,7 +284,7 @@ register(
     "SELECT (SELECT count(*) FROM ev) AS events, (SELECT count(DISTINCT sid) FROM ev) AS sessions, (SELECT count(*) FROM iv) AS intervals, (SELECT count(*) FROM delta) AS delta_rows, (SELECT min(minute) FROM delta) AS first_minute, (SELECT max(minute) FROM delta) AS last_minute, (SELECT count(*) FROM um) AS user_minutes",
 )
 register("x05_policy", lambda m: m.policy.frame(m.events.sparkSession).select("gap_s", "tail_s", "policy_hash"), f"SELECT CAST({SPARSE.gap_s} AS BIGINT) AS gap_s, CAST({SPARSE.tail_s} AS BIGINT) AS tail_s, '{SPARSE.digest}' AS policy_hash")
-register("v15_watermark", lambda m: H.watermark(m.events, m.deltas, m.hours).drop("trend_watermark"), "SELECT r AS raw_watermark, s AS sealed_watermark, r - s AS sealed_lag_s, h AS hour_tier_last_hour, CASE WHEN r >= h + 3600 THEN h + 3600 ELSE h END AS hour_final_through, r >= h + 3600 AS hour_tier_last_hour_complete FROM (SELECT (SELECT max(ts_s) FROM ev) AS r, (SELECT max(minute) FROM delta) AS s, (SELECT max(minute) // 3600 * 3600 FROM mins) AS h)")
+register("v15_watermark", lambda m: H.watermark(m.events, m.deltas, m.hours), "SELECT r AS raw_watermark, s AS sealed_watermark, r - s AS sealed_lag_s, h AS hour_tier_last_hour, CASE WHEN r >= h + 3600 THEN h + 3600 ELSE h END AS hour_final_through, r >= h + 3600 AS hour_tier_last_hour_complete, s AS trend_watermark FROM (SELECT (SELECT max(ts_s) FROM ev) AS r, (SELECT max(minute) FROM delta) AS s, (SELECT max(minute) // 3600 * 3600 FROM mins) AS h)")
 register("ss13_finality", lambda m: H.with_finality(M.change_curve(m.deltas), NEXT, m.policy), f"SELECT *, minute <= {NEXT - SPARSE.gap_s - SPARSE.tail_s} AS is_final FROM ({_points()})")
 _NORM = "CASE lower(trim({0})) WHEN '' THEN '' ELSE split_part(lower(trim({0})), '-', 1) END"
 _CLASS = f"CASE WHEN {_NORM} IN ('', 'unk', 'und', 'nil', 'null', 'na', 'n/a', 'undefined', 'unknown') THEN 'unknown' WHEN {_NORM} IN ('off', 'non', 'none', 'disabled') THEN 'off' WHEN {_NORM} IN ('aut', 'auto') THEN 'auto' ELSE 'named' END"
@@ -290,19 +303,45 @@ def _hostile(m: Model) -> DataFrame:
     return m.events.withColumns({"video_session_id": F.when(k == 0, " ").otherwise(F.col("video_session_id")), "ts_s": F.when(bad_time, F.lit(5).cast("long")).otherwise(F.col("ts_s"))}).drop("extra")
 
 
+def _flagged(m: Model) -> DataFrame:
+    """The same with events without a user, before their session's start, and with a start that is not believed."""
+    of = F.col("content_id") % 20
+    start = F.when(of == 4, F.col("ts_s") + 9).when(of == 5, F.lit(0).cast("long")).otherwise(F.col("session_start_s"))
+    return _hostile(m).withColumns({"user_id": F.when(of == 3, "").otherwise(F.col("user_id")), "session_start_s": start})
+
+
 _HOSTILE = "(SELECT * REPLACE (CASE WHEN ts_s % 97 = 0 THEN ' ' ELSE sid END AS sid, CASE WHEN ts_s % 89 = 0 THEN 5 ELSE ts_s END AS ts_s) FROM ev)"
 _REASON = "CASE WHEN trim(sid) = '' THEN 'session_id_unusable' WHEN ts_s < 1577836800 OR ts_s >= 2051222400 THEN 'ts_out_of_range' ELSE '' END"
 _HCOLS = "content_id, sid, user_id, event_type, event, ts_s, platform, app_version, country, audio_language, subtitle_language, player_version, session_start_s"
 register("v19_quarantine", lambda m: H.quarantine_summary(H.quarantine(_hostile(m))).withColumn("sample_sessions", F.array_join("sample_sessions", ",")), f"SELECT reason, CAST(sum(copies) AS BIGINT) AS rows, count(*) AS distinct_rows, count(DISTINCT sid) AS sessions, min(ts_s) AS first_seen, max(ts_s) AS last_seen, array_to_string(list_sort(list_distinct(list(sid)))[1:5], ',') AS sample_sessions FROM (SELECT {_REASON} AS reason, {_HCOLS}, count(*) AS copies FROM {_HOSTILE} GROUP BY ALL) WHERE reason <> '' GROUP BY reason")
 register("pf01_model_input", lambda m: H.model_input(_hostile(m)).groupBy("event_type", "event").agg(F.count(F.lit(1)).alias("rows")), f"SELECT event_type, event, count(*) AS rows FROM {_HOSTILE} WHERE {_REASON} = '' GROUP BY ALL")
 register("v19_flags", lambda m: H.flag_counts(m.events.withColumn("user_id", F.when(F.col("content_id") == 3, "").otherwise(F.col("user_id"))).withColumn("session_start_s", F.when(F.col("content_id") == 4, F.col("ts_s") + 9).otherwise(F.col("session_start_s")))), "SELECT flag, count(*) AS rows, count(DISTINCT sid) AS sessions, min(ts_s) AS first_seen, max(ts_s) AS last_seen FROM (SELECT 'user_id_empty' AS flag, * FROM ev WHERE content_id = 3 UNION ALL SELECT 'event_before_session_start', * FROM ev WHERE content_id = 4) GROUP BY flag")
-register("v19_summary", lambda m: H.preprocess_summary(_hostile(m)), f"SELECT count(*) AS raw_rows, count(*) FILTER (WHERE {_REASON} <> '') AS quarantined_rows, count(*) FILTER (WHERE {_REASON} = '') AS model_input_rows, CAST(0 AS BIGINT) AS flag_classes_present FROM {_HOSTILE}")
-register("h04_contract", lambda m: H.contract_report(m.events, m.catalog).where("probe in ('rows', 'sessions', 'pauses', 'resumes', 'session_ends', 'content_without_catalog', 'audio_language_unknown', 'ts_out_of_range', 'empty_source')"), "SELECT probe, severity, value, CASE WHEN severity = 'WARN' AND value > 0 THEN 'WARN' ELSE 'OK' END AS verdict FROM (SELECT 'rows' AS probe, 'INFO' AS severity, count(*) AS value FROM ev UNION ALL SELECT 'sessions', 'INFO', count(DISTINCT sid) FROM ev UNION ALL SELECT 'pauses', 'INFO', count(*) FROM ev WHERE event = 'pause' UNION ALL SELECT 'resumes', 'INFO', count(*) FROM ev WHERE event = 'resume' UNION ALL SELECT 'session_ends', 'INFO', count(*) FROM ev WHERE event_type = 'VideoSessionEnd' UNION ALL SELECT 'content_without_catalog', 'WARN', count(DISTINCT content_id) FROM ev WHERE content_id NOT IN (SELECT content_id FROM cat) UNION ALL SELECT 'audio_language_unknown', 'INFO', 0 UNION ALL SELECT 'ts_out_of_range', 'FAIL', 0 UNION ALL SELECT 'empty_source', 'FAIL', 0)")
-#: The same operators over all minutes and probes, without SQL; tests hold them against brute force.
-register("m13_session_minutes_whole", lambda m: C.session_minutes(m.intervals, m.catalog).select(*_DRILL), None)
-register("v16_dimension_values_whole", lambda m: C.dimension_values(C.session_minutes(m.intervals, m.catalog)), None)
-register("v16_content_values_whole", lambda m: C.content_dimension_values(C.session_minutes(m.intervals, m.catalog)), None)
-register("h04_contract_whole", lambda m: H.contract_report(m.events, m.catalog), None)
+_FLAGGED = "(SELECT * REPLACE (CASE WHEN content_id % 20 = 3 THEN '' ELSE user_id END AS user_id, CASE WHEN content_id % 20 = 4 THEN ts_s + 9 WHEN content_id % 20 = 5 THEN 0 ELSE session_start_s END AS session_start_s) FROM " + _HOSTILE + ")"
+_FLAGS = "[CASE WHEN trim(user_id) = '' THEN 'user_id_empty' END, CASE WHEN session_start_s >= 1577836800 AND session_start_s < 2051222400 AND session_start_s > ts_s THEN 'event_before_session_start' END, CASE WHEN session_start_s < 1577836800 OR session_start_s >= 2051222400 THEN 'session_start_out_of_range' END, CASE WHEN content_id = -1 THEN 'content_id_rollup_sentinel' END, CASE WHEN sid <> trim(sid) OR user_id <> trim(user_id) THEN 'identity_padded' END]"
+register("v19_summary", lambda m: H.preprocess_summary(_flagged(m)), f"SELECT count(*) AS raw_rows, count(*) FILTER (WHERE {_REASON} <> '') AS quarantined_rows, count(*) FILTER (WHERE {_REASON} = '') AS model_input_rows, (SELECT count(DISTINCT f) FROM (SELECT unnest({_FLAGS}) AS f FROM {_FLAGGED} WHERE {_REASON} = '')) AS flag_classes_present FROM {_FLAGGED}")
+_NOW = DAY + 10 * 86_400
+_SHAPE = "(SELECT sid, min(ts_s) AS t, min(session_start_s) AS s, count(DISTINCT session_start_s) AS n, min(ts_s) FILTER (WHERE event_type = 'VideoSessionStart') AS a, min(ts_s) FILTER (WHERE event_type = 'VideoSessionEnd') AS b, count(*) FILTER (WHERE event_type = 'VideoSessionEnd') AS ends FROM ev GROUP BY sid)"
+_TIED = "(SELECT sid, ts_s, count(DISTINCT platform) > 1 OR count(DISTINCT country) > 1 OR count(DISTINCT content_id) > 1 AS bad FROM ev GROUP BY sid, ts_s)"
+_KNOWN = "event_type IN (" + ", ".join(f"'{t}'" for t in VOCABULARY) + ")"
+_PAIR = " OR ".join(f"(event_type = '{t}' AND event IN ({', '.join(repr(e) for e in names)}))" for t, names in VOCABULARY.items())
+_EMPTY = ", ".join(f"CASE WHEN count(*) > 0 AND count(*) FILTER (WHERE coalesce({d}, '') = '') = count(*) THEN '{d}' END" for d in ("platform", "country", "app_version", "audio_language", "subtitle_language", "player_version", "event"))
+_SPAN = "(SELECT min(ts_s) || ' to ' || max(ts_s) FROM ev)"
+_PROBE_SQL = {
+    "source_empty": ("(SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM ev)", "''"), "time_out_of_range": ("(SELECT count(*) FILTER (WHERE year(make_timestamp(ts_s * 1000000)) NOT BETWEEN 2020 AND 2035) FROM ev)", _SPAN),
+    "session_start_zero": ("(SELECT count(*) FROM ev WHERE session_start_s = 0)", "''"), "identity_empty": ("(SELECT count(*) FROM ev WHERE sid = '' OR user_id = '')", "''"), "event_type_unknown": (f"(SELECT count(*) FROM ev WHERE NOT ({_KNOWN}))", "''"),
+    "columns_missing": ("0", "''"), "columns_extra": ("0", "''"), "event_unknown": (f"(SELECT count(*) FROM ev WHERE {_KNOWN} AND NOT ({_PAIR}))", "''"), "session_id_reused": (f"(SELECT count(*) FROM {_SHAPE} WHERE n > 1)", "''"),
+    "events_before_session_start": (f"(SELECT count(*) FROM {_SHAPE} WHERE t < s)", "''"), "events_in_future": (f"(SELECT count(*) FROM ev WHERE ts_s > {_NOW} + 300)", "''"), "end_before_start": (f"(SELECT count(*) FROM {_SHAPE} WHERE b < a)", "''"),
+    "several_ends": (f"(SELECT count(*) FROM {_SHAPE} WHERE ends > 1)", "''"), "dimensions_tied": (f"(SELECT count(*) FROM {_TIED} WHERE bad)", f"(SELECT round(count(*) FILTER (WHERE bad) * 100 / greatest(count(*), 1), 4) || '% of groups' FROM {_TIED})"),
+    "duplicate_rows": ("(SELECT count(*) - count(DISTINCT (content_id, sid, user_id, event_type, event, ts_s, platform, app_version, country, audio_language, subtitle_language, player_version, session_start_s)) FROM ev)", "''"),
+    "content_id_sentinel": ("(SELECT count(*) FROM ev WHERE content_id = -1)", "''"), "key_sentinel": ("(SELECT count(*) FROM ev WHERE platform = '*' OR country = '*')", "''"), "content_without_catalog": ("(SELECT count(DISTINCT content_id) FROM ev WHERE content_id NOT IN (SELECT content_id FROM cat))", "''"),
+    "catalog_conflicts": ("(SELECT count(*) FROM (SELECT content_id FROM cat GROUP BY content_id HAVING count(DISTINCT (title, video_type, category)) > 1))", "''"),
+    "dimensions_empty": (f"(SELECT len(list_filter([{_EMPTY}], lambda x: x IS NOT NULL)) FROM ev)", f"(SELECT array_to_string(list_filter([{_EMPTY}], lambda x: x IS NOT NULL), ', ') FROM ev)"),
+    "rows": ("(SELECT count(*) FROM ev)", "''"), "sessions": ("(SELECT count(DISTINCT sid) FROM ev)", "(SELECT count(DISTINCT user_id) || ' users' FROM ev)"), "span_minutes": ("(SELECT max(ts_s) // 60 - min(ts_s) // 60 FROM ev)", _SPAN),
+    "event_types": ("(SELECT count(DISTINCT event_type) FROM ev)", "(SELECT string_agg(event_type || ':' || n, ' ' ORDER BY n DESC, event_type) FROM (SELECT event_type, count(*) AS n FROM ev GROUP BY event_type))"),
+    "contents": ("(SELECT count(DISTINCT content_id) FROM ev)", "(SELECT 'platforms ' || count(DISTINCT platform) || ', countries ' || count(DISTINCT country) FROM ev)"),
+}
+_CONTRACT = " UNION ALL ".join(f"SELECT '{p}' AS probe, '{sev}' AS severity, CAST({_PROBE_SQL[p][0]} AS BIGINT) AS value, {_PROBE_SQL[p][1]} AS note" for p, sev in H.PROBES)
+register("h04_contract", lambda m: H.contract_report(m.events, m.catalog, now_s=_NOW), f"SELECT *, CASE WHEN value = 0 OR severity = 'INFO' THEN 'OK' ELSE severity END AS verdict FROM ({_CONTRACT})")
 _COUNTS = "SELECT ts_s // 60 * 60 AS minute, count(*) FILTER (WHERE event_type = 'VideoSessionEnd') AS ends, count(*) FILTER (WHERE event_type = 'VideoSessionStart') AS starts, count(*) FILTER (WHERE event_type = 'VideoHeartbeat') AS hb, count(*) FILTER (WHERE event = 'pause' OR event_type = 'AppBackgrounded') AS pausebg FROM ev GROUP BY ALL"
 register("h03_minute_counts", lambda m: H.minute_event_counts(m.events), _COUNTS)
 
@@ -320,17 +359,33 @@ register(
     SELECT minute, c, hb, ends, pausebg, {_base_sql('c', '')} AS b, {_base_sql('pausebg', '')} AS pb, greatest(coalesce(lag(c) OVER (ORDER BY minute), 0) - c, 0) AS lost FROM (
       SELECT q.minute, q.concurrent AS c, coalesce(k.hb, 0) AS hb, coalesce(k.ends, 0) AS ends, coalesce(k.pausebg, 0) AS pausebg FROM ({_DAYCURVE}) q LEFT JOIN ({_COUNTS}) k ON k.minute = q.minute)))""",
 )
-register("w07_lag_detectors", lambda m: H.lag_detectors(M.dense_curve(m.deltas, DAY, NEXT)).select("minute", "concurrent", "five_ago", "mean_lag3", "previous"), f"SELECT minute, concurrent, coalesce(lag(concurrent, 5) OVER (ORDER BY minute), 0) AS five_ago, avg(concurrent) OVER (ORDER BY minute ROWS BETWEEN 17 PRECEDING AND 3 PRECEDING) AS mean_lag3, coalesce(lag(concurrent) OVER (ORDER BY minute), 0) AS previous FROM ({_dense(DAY, NEXT)})")
+register("w07_lag_detectors", lambda m: H.lag_detectors(M.dense_curve(m.deltas, DAY, NEXT)), f"SELECT minute, concurrent, coalesce(lag(concurrent, 5) OVER (ORDER BY minute), 0) AS five_ago, avg(concurrent) OVER (ORDER BY minute ROWS BETWEEN 17 PRECEDING AND 3 PRECEDING) AS mean_lag3, coalesce(list_sort(list(concurrent) OVER (ORDER BY minute ROWS BETWEEN 14 PRECEDING AND CURRENT ROW))[(count(*) OVER (ORDER BY minute ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)) // 2 + 1], 0) AS median_nolag, coalesce(lag(concurrent) OVER (ORDER BY minute), 0) AS previous FROM ({_dense(DAY, NEXT)})")
 register("jn08_day_on_day", lambda m: H.day_on_day(M.dense_curve(m.deltas, DAY, DAY + 3 * 86_400)), f"SELECT a.minute, a.concurrent, b.concurrent AS day_before, a.concurrent - b.concurrent AS change FROM ({_DAYCURVE}) a JOIN ({_DAYCURVE}) b ON b.minute = a.minute - 86400")
 register("h05_model_comparison", lambda m: H.model_comparison(m.events, m.intervals), f"SELECT coalesce(a.minute, s.minute, n.minute) AS minute, coalesce(a.c, 0) AS aware, coalesce(s.c, 0) AS stateless, coalesce(n.c, 0) AS naive FROM {by_minute()} a FULL JOIN {_STATELESS} s ON s.minute = a.minute FULL JOIN {_NAIVE} n ON n.minute = coalesce(a.minute, s.minute)")
-register("h05_excluded_hours", lambda m: H.excluded_hours(m.events, m.intervals).select("aware_hours", "naive_hours"), "SELECT (SELECT CAST(sum(end_s - start_s) AS DOUBLE) / 3600 FROM iv) AS aware_hours, (SELECT CAST(sum(b - a) AS DOUBLE) / 3600 FROM (SELECT min(ts_s) AS a, max(ts_s) AS b FROM ev GROUP BY sid)) AS naive_hours")
+register("h05_excluded_hours", lambda m: H.excluded_hours(m.events, m.intervals), "SELECT aware_hours, naive_hours, naive_hours - aware_hours AS excluded_hours FROM (SELECT (SELECT CAST(sum(end_s - start_s) AS DOUBLE) / 3600 FROM iv) AS aware_hours, (SELECT CAST(sum(b - a) AS DOUBLE) / 3600 FROM (SELECT min(ts_s) AS a, max(ts_s) AS b FROM ev GROUP BY sid)) AS naive_hours)")
 register(
     "raw_dim_filter",
     lambda m: M.expanded(I.derive_intervals(m.events.join(m.events.where(F.element_at("extra", "video_resolution").isNotNull()).groupBy("video_session_id").agg(F.max_by(F.element_at("extra", "video_resolution"), F.struct("ts_s", F.element_at("extra", "video_resolution"))).alias("_v")).where("_v = '720p'"), "video_session_id", "left_semi"), m.policy)),
     "SELECT minute, count(*) AS concurrent FROM mins WHERE sid IN (SELECT sid FROM (SELECT sid, arg_max(video_resolution, (ts_s, video_resolution)) AS v FROM ev WHERE video_resolution IS NOT NULL GROUP BY sid) WHERE v = '720p') GROUP BY minute",
 )
 register("q34_users_le_sessions", lambda m: M.expanded(m.intervals).join(M.user_curve(m.users), "minute").agg(F.count(F.lit(1)).alias("minutes"), F.count_if(F.col("concurrent_users") > F.col("concurrent")).alias("more_users")), f"SELECT count(*) AS minutes, count(*) FILTER (WHERE u.c > s.c) AS more_users FROM {by_minute()} s JOIN {by_minute('', 'um', 'true', _UC)} u ON u.minute = s.minute")
-register("h07_invariants", lambda m: R.day_view(m.hours, 0).join(R.day_view(m.hours, R.PLATFORM).groupBy("day").agg(F.max("peak").alias("top"), F.sum("peak").alias("total"), F.sum("integral").alias("parts")), "day").select("day", (F.col("peak") >= F.col("top")).alias("at_least_largest"), (F.col("peak") <= F.col("total")).alias("at_most_sum"), (F.col("parts") == F.col("integral")).alias("integral_adds_up")), f"SELECT day, true AS at_least_largest, true AS at_most_sum, true AS integral_adds_up FROM ({_day_sql('')})")
+_LEVELS = "(SELECT unnest(range(0, 8)) AS g)"
+_CELL = "CASE WHEN g & 1 = 1 THEN platform ELSE '*' END AS lv_platform, CASE WHEN g & 2 = 2 THEN country ELSE '*' END AS lv_country, CASE WHEN g & 4 = 4 THEN content_id ELSE -1 END AS lv_content, g"
+_TRUTH = f"(SELECT {_CELL}, minute, count(DISTINCT sid) AS c, count(DISTINCT user_id) AS u FROM (SELECT sid, user_id, platform, country, content_id, unnest(range(sm, em + 60, 60)) AS minute FROM im), {_LEVELS} GROUP BY ALL)"
+_SERVED = f"(SELECT {_CELL}, minute, count(*) AS c FROM mins, {_LEVELS} GROUP BY ALL)"
+_ON = "a.lv_platform = b.lv_platform AND a.lv_country = b.lv_country AND a.lv_content = b.lv_content AND a.g = b.g"
+register("h07_peak_not_sum", lambda m: V.peak_not_sum(m.intervals, m.hours), f"""SELECT truth_peak, serving_peak, sum_of_platform_peaks, CASE WHEN serving_peak <> truth_peak THEN 'FAIL' WHEN sum_of_platform_peaks <= truth_peak THEN 'INCONCLUSIVE' ELSE 'PASS' END AS verdict FROM (
+  SELECT (SELECT max(c) FROM {_TRUTH} WHERE g = 0) AS truth_peak, (SELECT max(c) FROM {_SERVED} WHERE g = 0) AS serving_peak, (SELECT CAST(sum(p) AS BIGINT) FROM (SELECT max(c) AS p FROM {_TRUTH} WHERE g = 1 GROUP BY lv_platform)) AS sum_of_platform_peaks)""")
+register("h07_users_never_summed", lambda m: V.users_never_summed(m.intervals, m.users), f"""SELECT count(*) AS minutes_compared, count(*) FILTER (WHERE coalesce(s, 0) <> t) AS serving_mismatch_minutes, (SELECT count(DISTINCT minute) FROM um WHERE minute NOT IN (SELECT minute FROM {_TRUTH} WHERE g = 0)) AS extra_serving_minutes, count(*) FILTER (WHERE x > t) AS minutes_where_sum_overcounts, max(x - t) AS max_overcount,
+  CASE WHEN count(*) FILTER (WHERE coalesce(s, 0) <> t) > 0 OR (SELECT count(DISTINCT minute) FROM um WHERE minute NOT IN (SELECT minute FROM {_TRUTH} WHERE g = 0)) > 0 THEN 'FAIL' WHEN count(*) FILTER (WHERE x > t) = 0 THEN 'INCONCLUSIVE' ELSE 'PASS' END AS verdict
+  FROM (SELECT minute, u AS t FROM {_TRUTH} WHERE g = 0) a LEFT JOIN (SELECT minute, CAST(sum(u) AS BIGINT) AS x FROM {_TRUTH} WHERE g = 1 GROUP BY minute) b ON a.minute = b.minute LEFT JOIN (SELECT minute, count(DISTINCT user_id) AS s FROM um GROUP BY minute) d ON a.minute = d.minute""")
+register("h07_day_peaks", lambda m: V.day_peaks(m.intervals, m.hours), f"""SELECT g AS cube_level, count(*) AS rows_compared, count(*) FILTER (WHERE coalesce(sp, -1) <> coalesce(tp, -1)) AS peak_mismatch, count(*) FILTER (WHERE coalesce(si, -1) <> coalesce(ti, -1)) AS integral_mismatch, CASE WHEN count(*) FILTER (WHERE coalesce(sp, -1) <> coalesce(tp, -1) OR coalesce(si, -1) <> coalesce(ti, -1)) = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM (
+  SELECT coalesce(a.g, b.g) AS g, a.p AS tp, a.i AS ti, b.p AS sp, b.i AS si FROM (SELECT g, lv_platform, lv_country, lv_content, minute // 86400 AS day, max(c) AS p, sum(c) * 60 AS i FROM {_TRUTH} GROUP BY ALL) a FULL JOIN (SELECT g, lv_platform, lv_country, lv_content, minute // 86400 AS day, max(c) AS p, sum(c) * 60 AS i FROM {_SERVED} GROUP BY ALL) b ON {_ON} AND a.day = b.day) GROUP BY g""")
+register("h07_users_le_sessions", lambda m: V.users_le_sessions(m.intervals, m.users), f"""SELECT a.g AS cube_level, count(*) AS cells_compared, count(*) FILTER (WHERE a.u > coalesce(b.c, 0)) AS violations, max(a.u - coalesce(b.c, 0)) AS max_excess, CASE WHEN count(*) FILTER (WHERE a.u > coalesce(b.c, 0)) = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict
+  FROM (SELECT {_CELL}, minute, count(DISTINCT user_id) AS u FROM um, {_LEVELS} GROUP BY ALL) a LEFT JOIN {_TRUTH} b ON {_ON} AND a.minute = b.minute GROUP BY a.g""")
+register("h07_orphan_hours", lambda m: V.orphan_hours(m.intervals, m.catalog), """SELECT t AS total_integral, t - o AS catalogued_integral, o AS orphan_integral, round(100.0::DOUBLE * o / greatest(t, 1), 3) AS orphan_pct, ids AS orphan_content_ids, CASE WHEN o = 0 THEN 'PASS' ELSE 'PASS-WITH-DISCLOSURE' END AS verdict FROM (
+  SELECT CAST(sum(n) * 60 AS BIGINT) AS t, CAST(coalesce(sum(n) FILTER (WHERE lost), 0) * 60 AS BIGINT) AS o, coalesce(string_agg(CAST(content_id AS VARCHAR), ',' ORDER BY content_id) FILTER (WHERE lost), '') AS ids
+  FROM (SELECT content_id, count(DISTINCT (sid, minute)) AS n, content_id NOT IN (SELECT content_id FROM cat) AS lost FROM (SELECT sid, content_id, unnest(range(sm, em + 60, 60)) AS minute FROM im) GROUP BY content_id))""")
 
 
 def queries() -> dict[str, Query]:

@@ -18,6 +18,24 @@ CONTENT_REQUIRED = ("content_id",)
 DIMS = ("platform", "country", "content_id", "subtitle_language", "player_version", "audio_language", "app_version")
 KEYS = ("platform", "country", "content_id")
 
+# The event names that players send, by event type.
+VOCABULARY: dict[str, tuple[str, ...]] = {
+    "AppBackgrounded": ("AppBackgrounded",),
+    "AppForegrounded": ("AppForegrounded",),
+    "VideoError": ("VideoError",),
+    "VideoHeartbeat": (
+        "network-activity", "buffer-health", "video-resize", "BufferStart", "BufferEnd", "video_forward", "Seek", "resume", "network-bandwidth", "pause",
+        "upshift", "dropped-frames", "downshift", "video_rewind", "AdSkipTrueView", "network-change", "download_asset_played", "next_video_click",
+        "go_live_click", "download_initiated", "speed-change", "golive", "speed-pause", "speed-resume", "download_completed", "audio-language",
+        "preroll-disabled", "video_quality_change", "subtitle-language", "AdBufferStart", "AdBufferEnd", "AdPause", "AdResume", "preview_watched",
+        "download_deleted", "download_asset_play_stop", "chromecast_clicked", "chromecast_started", "download_resumed", "AdClick",
+        "premium_button_click",
+    ),
+    "VideoPlay": ("Play",),
+    "VideoSessionEnd": ("VideoSessionEnd",),
+    "VideoSessionStart": ("VideoSessionStart",),
+}
+
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,19 +10,25 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a fresh local folder only if the session names none, as in tests."""
+    """``spark.checkpoint.dir``. A session that runs in one process may leave it unset and gets a folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="kelpline-")
     return _LOCAL[app]
 
 
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kelpline/{name}-{uuid.uuid4().hex}"
+def written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    """``df`` as a Parquet table at ``path``, read back."""
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
