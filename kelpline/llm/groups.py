@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kelpline.llm.storage import materialise
 
 #: A bucket is compared block by block, each pair of blocks in its own place, if it has more members or more values than these.
-BLOCK, BLOCK_VALUES = 1024, 1 << 21
+BLOCK, BLOCK_VALUES = 512, 1 << 21
 
 
 def _own_exchange(minima: DataFrame) -> DataFrame:
