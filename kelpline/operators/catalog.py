@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpline.operators.minutes import change_curve, held_curve, minute
+from kelpline.operators.hours import peak_and_average
+from kelpline.operators.minutes import change_curve, held_curve, minute, within
 
 ATTRIBUTES = ("title", "video_type", "category", "show_name")
 #: A catalog of more rows than this is joined by shuffle (Spark decides), not sent to all executors.
@@ -39,6 +40,16 @@ def attribute_levels(deltas: DataFrame, catalog: DataFrame, attribute: str) -> D
     return held_curve(with_content(deltas, catalog), [attribute])
 
 
+def attribute_range(deltas: DataFrame, catalog: DataFrame, attribute: str, value: str, start_s: int, end_s: int) -> DataFrame:
+    """Peak and average over [start_s, end_s), whole hours, of contents with one value of an attribute ('' for a blank one).
+
+    No row if no content has the value, so that a misspelt one does not read as nobody watching.
+    """
+    having = one_per_content(catalog).where(F.col(attribute) == value).select("content_id")
+    rows = within(deltas, "minute", start_s, end_s).join(having, "content_id", "left_semi")
+    return peak_and_average(held_curve(rows), end_s - start_s).join(F.broadcast(having.limit(1).select(F.lit(1).alias("_seen"))), F.lit(True), "left_semi")
+
+
 def title_curve(deltas: DataFrame, catalog: DataFrame) -> DataFrame:
     """As ``attribute_curve`` by title, with how many catalog entries share it."""
     shared = one_per_content(catalog).withColumn("title", F.when(F.col("title") == "", "(blank)").otherwise(F.col("title"))).groupBy("title").agg(F.count(F.lit(1)).alias("catalog_content_ids"))

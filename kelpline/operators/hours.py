@@ -69,36 +69,38 @@ def peak_and_average(levels: DataFrame, seconds: int, by: tuple[str, ...] = ())
     return rows.withColumn("avg_concurrent", F.col("integral") / seconds)
 
 
-def window_range(deltas: DataFrame, hours: DataFrame, start_s: int, end_s: int, *, platform: str | None = None, country: str | None = None, content_id: int | None = None) -> DataFrame:
+def window_range(deltas: DataFrame, hours: DataFrame, start_s: int, end_s: int, *, platform: str | None = None, country: str | None = None, content_id: int | None = None, known_only: bool = False) -> DataFrame:
     """Peak and time-weighted average over [start_s, end_s), as one row.
 
     Whole hours come from the hour tier, the at most two ragged ones at the ends from the minute tier; both
-    reads are pruned by their hours. Empty ranges have peak 0 at time 0.
+    reads are pruned by their hours. Empty ranges have peak 0 at time 0. None filters nothing; any other value is
+    taken literally, also one that shows elsewhere where a key is dropped. With ``known_only`` there is no row if the hour
+    tier never has the values filtered by, so that a misspelt one does not read as nobody watching.
     """
     if end_s <= start_s:
         raise ValueError("the range must end after its start")
     filters = {"platform": platform, "country": country, "content_id": content_id}
     lo, hi = -(-start_s // 3600) * 3600, end_s // 3600 * 3600
     ragged = sorted({h for h in (start_s // 3600 * 3600, (end_s - 1) // 3600 * 3600) if h < lo or h >= hi})
-    whole = within(pinned(hours, **filters), "hour", lo, hi) if lo < hi else hours.where(F.lit(False))
-    whole = whole.agg(F.max("peak").alias("wp"), F.max_by("peak_minute", F.struct("peak", -F.col("peak_minute"))).alias("wm"), F.coalesce(F.sum("integral"), F.lit(0)).alias("wi"), F.count(F.lit(1)).alias("wn"))
-    edges = [within(deltas, "minute", h, h + 3600) for h in ragged]
-    edge = reduce(DataFrame.unionByName, edges) if edges else deltas.where(F.lit(False))
-    for k, v in filters.items():
-        edge = edge if v is None else edge.where(F.col(k) == v)
-    a, b = F.greatest(F.col("minute"), F.lit(start_s)), F.least(F.col("next_minute"), F.lit(end_s))
-    clipped = held_curve(edge).select("concurrent", a.alias("a"), b.alias("b")).where("b > a")
-    part = clipped.agg(F.max("concurrent").alias("pp"), best_minute(F.col("concurrent"), F.col("a")).alias("pm"), F.coalesce(F.sum(F.col("concurrent") * (F.col("b") - F.col("a"))), F.lit(0)).alias("pi"), F.count(F.lit(1)).alias("pn"))
-    both = whole.crossJoin(part)  # one row each
-    at = F.when(F.col("wp") > F.col("pp"), F.col("wm")).when(F.col("pp") > F.col("wp"), F.col("pm")).otherwise(F.least("wm", "pm"))
-    at = F.coalesce(F.when(F.col("wp").isNull(), F.col("pm")).when(F.col("pp").isNull(), F.col("wm")).otherwise(at), F.lit(0))
-    integral = F.col("wi") + F.col("pi")
-    return both.select(
+    # rows of either tier: a level, since when, what it adds to the integral
+    parts = []
+    if lo < hi:
+        parts.append(within(pinned(hours, **filters), "hour", lo, hi).select("peak", F.col("peak_minute").alias("at"), "integral", F.lit(1).alias("h"), F.lit(0).alias("p")))
+    if ragged:
+        edge = reduce(DataFrame.unionByName, [within(deltas, "minute", h, h + 3600) for h in ragged])
+        for k, v in filters.items():
+            edge = edge if v is None else edge.where(F.col(k) == v)
+        a, b = F.greatest(F.col("minute"), F.lit(start_s)), F.least(F.col("next_minute"), F.lit(end_s))
+        clipped = held_curve(edge).select("concurrent", a.alias("a"), b.alias("b")).where("b > a")
+        parts.append(clipped.select(F.col("concurrent").alias("peak"), F.col("a").alias("at"), (F.col("concurrent") * (F.col("b") - F.col("a"))).alias("integral"), F.lit(0).alias("h"), F.lit(1).alias("p")))
+    zero = F.lit(0).cast("long")
+    found = reduce(DataFrame.unionByName, parts).agg(F.coalesce(F.max("peak"), zero).alias("peak"), F.coalesce(best_minute(F.col("peak"), F.col("at")), zero).alias("peak_minute"), F.coalesce(F.sum("integral"), zero).alias("integral"), F.coalesce(F.sum("h"), zero).alias("h"), F.coalesce(F.sum("p"), zero).alias("p"))
+    out = found.select(
         F.lit(start_s).cast("long").alias("range_start"), F.lit(end_s).cast("long").alias("range_end"), F.lit(end_s - start_s).cast("long").alias("range_seconds"),
-        F.lit(platform or "*").alias("platform"), F.lit(country or "*").alias("country"), F.lit(-1 if content_id is None else content_id).cast("long").alias("content_id"),
-        F.coalesce(F.greatest("wp", "pp"), F.lit(0)).cast("long").alias("peak"), at.cast("long").alias("peak_minute"), integral.cast("long").alias("integral"),
-        (integral / (end_s - start_s)).alias("avg_concurrent"), F.col("wn").alias("hours_from_hour_tier"), F.col("pn").alias("change_points_from_minute_tier"),
+        F.lit("*" if platform is None else platform).alias("platform"), F.lit("*" if country is None else country).alias("country"), F.lit(-1 if content_id is None else content_id).cast("long").alias("content_id"),
+        "peak", "peak_minute", "integral", (F.col("integral") / (end_s - start_s)).alias("avg_concurrent"), F.col("h").alias("hours_from_hour_tier"), F.col("p").alias("change_points_from_minute_tier"),
     )
+    return out.join(F.broadcast(pinned(hours, **filters).limit(1).select(F.lit(1).alias("_seen"))), F.lit(True), "left_semi") if known_only else out
 
 
 def tumbling(series: DataFrame, minutes: int, by: tuple[str, ...] = ()) -> DataFrame:
