@@ -17,7 +17,7 @@ from kelpline.llm.storage import bucketed, materialise
 #: Bytes of the sampled strings; any repeated string of ``length`` bytes holds the one of least hash in it.
 SAMPLE = 64
 #: Places of one sample that a task takes at once; of more, equal surroundings are merged, and the rest is told apart by longer samples.
-HOT = 1024
+HOT = 256
 _TILE = 1 << 18
 _PLACE = np.uint64((1 << 20) - 1)
 
