@@ -60,7 +60,7 @@ def shared(rows: DataFrame) -> DataFrame:
     return rows.join(_rekeyed(sizes, "path"), "path")
 
 
-def gathered(ready: DataFrame, about: DataFrame) -> DataFrame:
+def gathered(ready: DataFrame, about: DataFrame, block: int | None = None) -> DataFrame:
     """Rows (path, _i, _j, _own, did, paths, columns of ``about``) of the members of all buckets.
 
     ``ready`` are rows of ``shared``, ``about`` has one row a did. ``paths`` are all buckets of the member, whose
@@ -68,7 +68,7 @@ def gathered(ready: DataFrame, about: DataFrame) -> DataFrame:
     to all their pairs, so no task holds more than about two blocks, and every two members meet in exactly
     one place, that of their own blocks.
     """
-    blocks = F.greatest(F.ceil(F.col("_n") / BLOCK), F.ceil(F.col("_w") / BLOCK_VALUES)).cast("int")
+    blocks = F.greatest(F.ceil(F.col("_n") / (block or BLOCK)), F.ceil(F.col("_w") / BLOCK_VALUES)).cast("int")
     rows = ready.select("path", "did", F.least(blocks, F.col("_n").cast("int")).alias("_blocks"))
     rows = rows.withColumn("_own", F.pmod(F.xxhash64("did", F.lit(3)), F.col("_blocks").cast("long")).cast("int"))
     lists = rows.groupBy("did").agg(F.collect_list(F.struct("path", "_blocks", "_own")).alias("_p")).join(about, "did")

@@ -300,9 +300,9 @@ def test_isolated_vectors_are_found_in_any_dimension(spark, dim, one_large):
 
 
 def test_crowded_cells_are_split_and_compared_in_blocks(spark, monkeypatch):
-    from kelpline.llm import groups
+    from kelpline.llm import lattice
 
-    monkeypatch.setattr(groups, "BLOCK", 40)
+    monkeypatch.setattr(lattice, "BLOCK", 40)
     rng = np.random.default_rng(6)
     rows = []
     for noise, n in ((0.012, 150), (0.02, 100), (0.3, 150)):
