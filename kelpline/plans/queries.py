@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,11 @@ from kelpline.operators import minutes as M
 from kelpline.operators import reconcile as G
 from kelpline.plans.model import SPARSE, Model, model_of
 from kelpline.plans.oracle import base, by_minute, peak
+from kelpline.policy import VARIANTS, Policy
+from kelpline.sources import landing as L
+from kelpline.sources import synthetic as S
 from kelpline.sources.schema import DIMS, KEYS, VOCABULARY
+from kelpline.streaming.publish import Publisher, stateless_minutes
 
 BASE = base(SPARSE)
 DAY = 1_704_844_800  # 2024-01-10
@@ -387,6 +393,93 @@ register("h07_orphan_hours", lambda m: V.orphan_hours(m.intervals, m.catalog), "
   SELECT CAST(sum(n) * 60 AS BIGINT) AS t, CAST(coalesce(sum(n) FILTER (WHERE lost), 0) * 60 AS BIGINT) AS o, coalesce(string_agg(CAST(content_id AS VARCHAR), ',' ORDER BY content_id) FILTER (WHERE lost), '') AS ids
   FROM (SELECT content_id, count(DISTINCT (sid, minute)) AS n, content_id NOT IN (SELECT content_id FROM cat) AS lost FROM (SELECT sid, content_id, unnest(range(sm, em + 60, 60)) AS minute FROM im) GROUP BY content_id))""")
 
+# --- landing
+def _landed(m: Model) -> DataFrame:
+    """The events as a folder of CSV files: some times and contents are no numbers, some starts are empty, one column is new."""
+    path = f"{m.folder}/landing"
+    if not _exists(m.events.sparkSession, path):
+        k, ms = F.col("ts_s") - F.col("session_start_s"), ((F.col("ts_s") * 1000) + (F.col("ts_s") - F.col("session_start_s")) % 1000).cast("string")
+        time = F.when(k % 50 == 7, "n/a").when(k % 50 == 8, F.concat(F.lit(" "), ms)).otherwise(ms)
+        content = F.when(k % 40 == 3, F.concat(F.col("content_id").cast("string"), F.lit(".5"))).otherwise(F.col("content_id").cast("string"))
+        start = F.when(k % 30 == 4, "").otherwise((F.col("session_start_s") * 1000).cast("string"))
+        rows = m.events.select(content.alias("content_id"), "video_session_id", "user_id", "event_type", "event", time.alias("event_timestamp"), "platform", "app_version", "country", "audio_language", "subtitle_language", "player_version", start.alias("session_start_epoch"), F.coalesce(F.element_at("extra", "video_resolution"), F.lit("")).alias("video_resolution"))
+        rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return L.read_landing(m.events.sparkSession, path, "load 1", multi_line=False)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+_LANDED = "(SELECT * EXCLUDE (content_id, session_start_s, video_resolution), CASE WHEN k % 40 = 3 THEN content_id || '.5' ELSE CAST(content_id AS VARCHAR) END AS content_id, CASE WHEN k % 50 = 7 THEN 'n/a' WHEN k % 50 = 8 THEN ' ' || (ts_s * 1000 + k % 1000) ELSE CAST(ts_s * 1000 + k % 1000 AS VARCHAR) END AS event_timestamp, CASE WHEN k % 30 = 4 THEN '' ELSE CAST(session_start_s * 1000 AS VARCHAR) END AS session_start_epoch, coalesce(video_resolution, '') AS video_resolution, k % 50 IN (7, 8) AS rejected, k % 50 IN (7, 8) OR k % 40 = 3 OR k % 30 = 4 AS bad FROM (SELECT *, ts_s - session_start_s AS k FROM ev))"
+_TEXTS = "sid AS video_session_id, user_id, event_type, event, platform, app_version, country, audio_language, subtitle_language, player_version"
+register("sc01_landing", lambda m: _landed(m).withColumn("video_resolution", F.element_at("extra", "video_resolution")).drop("extra"), f"SELECT content_id, {_TEXTS}, event_timestamp, session_start_epoch, 'load 1' AS load_id, nullif(video_resolution, '') AS video_resolution FROM {_LANDED}")
+_TYPED = ("content_id", "video_session_id", "user_id", "event_type", "event", "platform", "app_version", "country", "audio_language", "subtitle_language", "player_version", "ts_s", "session_start_s")
+register("sc04_typed", lambda m: L.cast_landing(_landed(m))[0].select(*_TYPED), f"SELECT coalesce(TRY_CAST(CASE WHEN regexp_matches(content_id, '^-?[0-9]+$') THEN content_id END AS BIGINT), 0) AS content_id, {_TEXTS}, ts_s, CASE WHEN session_start_epoch = '' THEN 0 ELSE CAST(session_start_epoch AS BIGINT) // 1000 END AS session_start_s FROM {_LANDED} WHERE NOT rejected")
+_LEDGER = f"(SELECT CASE WHEN rejected THEN 'rejected' ELSE 'coalesced' END AS disposition, CASE WHEN rejected THEN 'event_timestamp_not_a_number' ELSE 'number_coalesced' END AS reason, concat_ws('; ', CASE WHEN k % 40 = 3 THEN 'content_id=' || content_id END, CASE WHEN rejected THEN 'event_timestamp=' || event_timestamp END, CASE WHEN k % 30 = 4 THEN 'session_start_epoch=' END) AS detail, count(*) AS copies FROM {_LANDED} WHERE bad GROUP BY ALL, {', '.join(c.split(' AS ')[0] for c in _TEXTS.split(', '))}, content_id, event_timestamp, session_start_epoch, video_resolution)"
+_LEDGER = _LEDGER.replace("GROUP BY ALL, ", "GROUP BY rejected, k, ")
+register("sc06_ledger", lambda m: L.cast_landing(_landed(m))[1].select("source", "reason", "disposition", "detail", "copies"), f"SELECT 'events' AS source, reason, disposition, detail, copies FROM {_LEDGER}")
+
+
+def _dispositions(m: Model) -> DataFrame:
+    landed = _landed(m)
+    return L.disposition_report(landed, *L.cast_landing(landed))
+
+
+register("sc07_disposition", _dispositions, f"SELECT 'load 1' AS load_id, count(*) AS landed, count(*) FILTER (WHERE rejected) AS rejected, count(*) FILTER (WHERE NOT rejected) AS typed, count(*) FILTER (WHERE bad AND NOT rejected) AS coalesced FROM {_LANDED}")
+register("sc08_ledger_summary", lambda m: L.ledger_summary(L.cast_landing(_landed(m))[1]).withColumn("sample_detail", F.array_join("sample_detail", "|")), f"SELECT 'events' AS source, reason, disposition, CAST(sum(copies) AS BIGINT) AS rows, count(*) AS distinct_rows, array_to_string(list_sort(list_distinct(list(detail)))[1:5], '|') AS sample_detail FROM {_LEDGER} GROUP BY reason, disposition")
+register("sc13_latest", lambda m: I.latest(m.intervals.unionByName(m.intervals.withColumns({"end_s": F.col("end_s") + 1, "build_version": F.lit(2).cast("long")}))).select("video_session_id", "start_s", "end_s", "build_version"), "SELECT sid AS video_session_id, start_s, end_s + 1 AS end_s, CAST(2 AS BIGINT) AS build_version FROM iv")
+register("sc18_staircase", lambda m: M.expanded(I.derive_intervals(S.staircase(m.events.sparkSession), Policy())), f"SELECT minute, count(*) AS concurrent FROM (SELECT unnest(range(({S.START_S} + 60 * i) // 60 * 60, ({S.START_S} + 60 * i + 660) // 60 * 60 + 60, 60)) AS minute FROM range(60) t(i)) GROUP BY minute")
+
+
+# --- publishing: of each four seconds the events of three are published, one batch each, so that most come late
+def _published(m: Model) -> Publisher:
+    publisher = Publisher(m.events.sparkSession, f"{m.folder}/published", m.policy)
+    for batch in range(publisher.generation() + 1, 3):
+        publisher.process(m.events.where(F.col("ts_s") % 4 == batch), batch)
+    return publisher
+
+
+def _published_sql(batches: int) -> str:
+    return BASE.replace("FROM events\n", f"FROM events WHERE CAST(floor(epoch(ts)) AS BIGINT) % 4 < {batches}\n")
+
+
+def _register_published(name: str, run: Callable[[Publisher, Model], DataFrame], sql: str, batches: int = 3) -> None:
+    register(name, lambda m: run(_published(m), m), None)
+    _SQL[name] = _published_sql(batches) + sql
+
+
+_register_published("ss07_intervals", lambda p, m: p.intervals().select("video_session_id", *_IV), f"SELECT sid AS video_session_id, {', '.join(_IV)} FROM iv")
+_register_published("ss08_deltas", lambda p, m: p.deltas(), "SELECT * FROM delta WHERE delta <> 0 OR starts <> 0 OR ends <> 0")
+_register_published("ss09_hours", lambda p, m: p.hours().where("peak <> 0 or integral <> 0"), _SQL["ag17_hour_cube"].removeprefix(BASE))
+_register_published("ag06_users", lambda p, m: p.users(), "SELECT minute, platform, country, content_id, user_id FROM um")
+_register_published("v21_intervals_at", lambda p, m: p.intervals(1).select("video_session_id", *_IV), f"SELECT sid AS video_session_id, {', '.join(_IV)} FROM iv", 2)
+_register_published("v21_deltas_at", lambda p, m: p.deltas(0), "SELECT * FROM delta WHERE delta <> 0 OR starts <> 0 OR ends <> 0", 1)
+_register_published("v21_status", lambda p, m: p.status().select("generation", "status", "parent", "events", "sessions", "watermark_s", "is_active"), "SELECT ts_s % 4 AS generation, 'committed' AS status, ts_s % 4 - 1 AS parent, count(*) AS events, count(DISTINCT sid) AS sessions, max(ts_s) AS watermark_s, ts_s % 4 = 2 AS is_active FROM ev GROUP BY ts_s % 4")
+_register_published(
+    "v22_publish_lag",
+    lambda p, m: p.publish_lag(m.events, now_s=NEXT).select("publish_cursor", "ingest_watermark", "publish_lag_s", "pending_events", "pending_sessions", "oldest_pending_s", "oldest_pending_age_s", "retention_headroom_s", "retention_alert", "last_committed", "runs_in_flight"),
+    f"SELECT *, greatest(0, {NEXT} - oldest_pending_s) AS oldest_pending_age_s, {7 * 86_400} - greatest(0, {NEXT} - oldest_pending_s) AS retention_headroom_s, greatest(0, {NEXT} - oldest_pending_s) > {6 * 86_400} AS retention_alert, CAST(2 AS BIGINT) AS last_committed, CAST(0 AS BIGINT) AS runs_in_flight FROM (SELECT max(ts_s) FILTER (WHERE ts_s % 4 < 3) AS publish_cursor, max(ts_s) AS ingest_watermark, greatest(0, max(ts_s) - max(ts_s) FILTER (WHERE ts_s % 4 < 3)) AS publish_lag_s, count(*) FILTER (WHERE ts_s % 4 = 3) AS pending_events, count(DISTINCT sid) FILTER (WHERE ts_s % 4 = 3) AS pending_sessions, min(ts_s) FILTER (WHERE ts_s % 4 = 3) AS oldest_pending_s FROM ev)",
+    4,
+)
+register("h09_freshness", lambda m: (lambda p: p.freshness(now_s=p.commits()[2]["committed_s"] + 60).select("stage", "rows", "age_s", "verdict"))(_published(m)), None)
+register("ss01_stateless", lambda m: stateless_minutes(m.events), "SELECT DISTINCT ts_s // 60 * 60 AS minute, platform, country, content_id, sid AS video_session_id FROM ev WHERE event_type IN ('VideoHeartbeat', 'VideoPlay')")
+
+
+def _variants(m: Model) -> DataFrame:
+    """What each variant policy makes of the events, at the gap and tail that suit them."""
+
+    def one(name: str, policy: Policy) -> DataFrame:
+        fitted = replace(policy, gap_s=policy.gap_s if policy.gap_s > m.policy.gap_s else m.policy.gap_s, tail_s=m.policy.tail_s)
+        cut = I.segments(m.events, fitted)
+        return cut.agg(F.lit(name).alias("variant"), F.count(F.lit(1)).alias("intervals"), F.sum(F.col("end_s") - F.col("start_s")).alias("seconds"), F.countDistinct("video_session_id").alias("sessions"))
+
+    return reduce(DataFrame.unionByName, [one(n, p) for n, p in VARIANTS.items()])
+
+
+register("m14_variants", _variants, None)
+
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -12,16 +12,16 @@ from kelpline.sources.schema import CONTENT_COLUMNS, CONTENT_REQUIRED, EVENT_COL
 _NUMBERS = {"events": ("content_id", "event_timestamp", "session_start_epoch"), "content": ("content_id",)}
 
 
-def read_landing(spark: SparkSession, path: str, load_id: str, kind: str = "events", acknowledged: tuple[str, ...] = ()) -> DataFrame:
-    """A CSV file as text columns of the contract, ``extra`` with all further ones, and load_id.
+def read_landing(spark: SparkSession, path: str, load_id: str, kind: str = "events", acknowledged: tuple[str, ...] = (), multi_line: bool = True) -> DataFrame:
+    """A CSV file, or a folder of them with the same header, as text columns of the contract, ``extra`` with all further ones, and load_id.
 
-    Quoted values may hold commas, quotes and line ends. Missing columns that are acknowledged are empty.
+    Quoted values may hold commas, quotes and, with ``multi_line``, line ends; without it a large file is cut into several tasks. Missing columns that are acknowledged are empty.
     """
     columns, required = (EVENT_COLUMNS, EVENT_REQUIRED) if kind == "events" else (CONTENT_COLUMNS, CONTENT_REQUIRED)
     head = spark.read.text(path).first()
     header = next(csv.reader([head[0] if head else ""]))
     plan: HeaderPlan = plan_header(header, columns, required, acknowledged)
-    rows = spark.read.schema(landing_schema(header)).option("header", True).option("multiLine", True).option("escape", '"').option("enforceSchema", True).csv(path)
+    rows = spark.read.schema(landing_schema(header)).option("header", True).option("multiLine", multi_line).option("escape", '"').option("enforceSchema", True).csv(path)
     text = lambda c: F.coalesce(F.col(c), F.lit("")) if c in plan.present else F.lit("")
     extras = [x for c in plan.extra for x in (F.lit(c), F.coalesce(F.col(c), F.lit("")))]
     extra = F.map_filter(F.create_map(*extras), lambda k, v: v != "") if extras else F.create_map()
