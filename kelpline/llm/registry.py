@@ -38,34 +38,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document: sources weigh 1, 2, 3 in turn, none above three times its size."""
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside ten words in a row of a benchmark item, and the items."""
     return decontaminate.contamination_report(decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between vectors of one label at a cosine of 0.98 or more."""
     return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, by a classifier fitted on those not held out."""
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document in strings of 200 bytes that also start elsewhere."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of each document, by a model of the labels not held out."""
     return quality.predict_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in each document, with the share of their shingles found."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between documents whose five-word shingles have a Jaccard similarity of 0.8 or more."""
     return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"))
 
 
@@ -76,6 +84,7 @@ def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document as a byte-level tokenizer of 50,000 tokens counts them."""
     import public_tokenizers
 
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

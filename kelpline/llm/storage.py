@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kelpline.sources.workspace import shared_dir
 
 _WRITTEN: list[str] = []
+_TABLES: list[str] = []
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -32,11 +33,14 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
     _WRITTEN.append(path)
+    _TABLES.append(table)
     return spark.table(table)
 
 
 def release(spark: SparkSession) -> None:
     """Delete every table that this session has written; results that still read them become invalid."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _WRITTEN:
         path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())

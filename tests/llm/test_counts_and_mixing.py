@@ -87,3 +87,17 @@ def test_large_groups_are_emitted_by_their_own_crossings(docs):
     assert found == copies and len(out) == sum(copies.values())
     texts = [r.text for r in out if r.source == "a" and r.doc_id is None]
     assert len(set(texts)) == len(texts)
+
+
+def test_long_texts_null_ids_and_equal_rows(docs):
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    long = "word after word, 12 é " * 60_000
+    rows = [(1, long, "en", "a"), (1, long, "en", "a"), (None, "x y", "en", None), (None, None, None, None), (2, "a" * 300_000, "en", "b"), (3, " " * 5000, "en", "b")]
+    size = {t: len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for t in {r[1] or "" for r in rows}}
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_bytes) for r in count_tokens(docs(rows), path).collect())
+    assert got == sorted((str(i), size[t or ""], len((t or "").encode())) for i, t, *_ in rows)
+    words = sorted((str(r.doc_id), r.size) for r in mix_sources(docs(rows)).collect())
+    assert words == sorted((str(i), len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for i, t, *_ in rows)

@@ -86,6 +86,93 @@ def test_quality_held_out(spark, docs):
     assert predict_quality(docs([]), lab).count() == 0
 
 
+def test_ridge_over_landmarks_is_solved_exactly():
+    """Weights against a direct solution with kernels counted in sets, for two languages of few texts (all are landmarks)."""
+    import numpy as np
+    import pyarrow as pa
+
+    from kelpline.llm.bytetools import buffers
+    from kelpline.llm.language import codes, fit
+
+    rng = random.Random(17)
+    known = [(lang, _text(rng, lang, rng.randrange(5, 30))) for lang in ("de", "en", "fr") for _ in range(6 if lang == "fr" else 9)]
+    model = fit([(lang, np.unique(np.concatenate([c for c, _ in codes(*buffers(pa.array([t])))]))) for lang, t in known], ridge=0.01)
+    texts = [t for _, t in known]
+    gram = np.array([[_plain_kernel(a, b) for b in texts] for a in texts])
+    values, vectors = np.linalg.eigh(gram)
+    keep = values > values.max() * 1e-6
+    root = vectors[:, keep] / np.sqrt(values[keep])
+    phi = np.hstack([gram @ root, np.ones((len(texts), 1))])
+    y = np.array([["de", "en", "fr"].index(lang) for lang, _ in known])
+    balance = np.diag(len(y) / (3 * np.bincount(y)[y]))
+    beta = np.linalg.solve(phi.T @ balance @ phi + 0.01 * len(y) * np.eye(phi.shape[1]), phi.T @ balance @ np.where(y[:, None] == np.arange(3), 1.0, -1.0))
+    fresh = [_text(rng, "en", 40), "x", ""]
+    want = np.hstack([np.array([[_plain_kernel(a, b) if a else 0.0 for b in texts] for a in fresh]) @ root, np.ones((3, 1))]) @ beta
+    kernel, _ = model.kernel(*buffers(pa.array(fresh)))
+    assert np.abs(model.margins(kernel) - want).max() < 1e-3
+
+
+def _plain_statistics(text):
+    import math
+    import re
+
+    raw = text.encode()
+    if not raw:
+        return [0.0] * 20
+    n = len(raw)
+    marks = set(b".,;:?'\"-()")
+    kinds = [lambda b: b == 32, lambda b: b == 10, lambda b: 97 <= b < 123, lambda b: 65 <= b < 91, lambda b: 48 <= b < 58, lambda b: b in marks, lambda b: 33 <= b < 127 and not (chr(b).isalnum() or b in marks), lambda b: b >= 128, lambda b: (b < 32 and b != 10) or b == 127]
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", raw)
+    low, per = [bytes(c | 32 if 65 <= c < 91 else c for c in w) for w in words], max(1, len(words))
+    sizes = [len(w) for w in words]
+    mean = sum(sizes) / per
+    spread = math.sqrt(max(0.0, sum(x * x for x in sizes) / per - mean**2))
+    pairs = list(zip(low, low[1:], strict=False))
+    top = lambda xs: max((xs.count(x) for x in set(xs)), default=0)
+    return [
+        math.log1p(n), math.log1p(len(words)), *[sum(map(k, raw)) / n for k in kinds], mean, spread, sum(x > 12 for x in sizes) / per, len(set(low)) / per, top(low) / per, sum(a == b for a, b in pairs) / per,
+        math.log1p(n / (raw.count(10) + 1)), top(pairs) / per, len(set(pairs)) / per,
+    ]
+
+
+def test_statistics_and_the_fit_against_plain_ones(spark, docs):
+    """Each statistic counted plainly; sums of partitions against one solution over all rows; pools against the definition."""
+    import numpy as np
+
+    from kelpline.llm import quality
+
+    rng = random.Random(23)
+    texts = [None, "", "a", "A b. A b! 12\n\ta", "é é\x7f ñ (x)", "same same same", "long" * 9 + " word", _text(rng, "de", 5000)] + [_text(rng, "en", rng.randrange(1, 60)) + rng.choice(["", " ***", "\n\n1 2 3"]) for _ in range(150)]
+    rows = [(k, t, "en", "s") for k, t in enumerate(texts)]
+    stats = quality.document_statistics(docs(rows).repartition(5)).cache()
+    got = {r.doc_id: r.stats for r in stats.collect()}
+    assert all(np.abs(np.array(got[k]) - _plain_statistics(t or "")).max() < 1e-6 for k, t in enumerate(texts))
+    labels = spark.createDataFrame([(k, int("***" not in (t or "")), 0) for k, t in enumerate(texts)], "doc_id long, quality int, toxic int")
+    model = quality.train(stats, labels)
+    on = [k for k in range(len(texts)) if zlib.crc32(str(k).encode()) % 5]
+    x, y = np.array([got[k] for k in on]), np.array([float("***" not in (texts[k] or "")) for k in on])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.spread, np.sqrt(np.maximum(x.var(0), 1e-12)) + 1e-6)
+    z = model.lift(x)
+    direct = np.linalg.solve(z.T @ z + quality.RIDGE * len(on) * np.eye(z.shape[1]), z.T @ y)
+    assert np.abs(z @ direct - model.raw(x)).max() < 1e-6
+    kernel = np.exp(-((((x - model.mean) / model.spread).clip(-8, 8)[:40, None] - ((x - model.mean) / model.spread).clip(-8, 8)[None, :40]) ** 2).sum(2) / (2 * quality.WIDTH**2))
+    assert np.abs(z[:40, :-1] @ z[:40, :-1].T - kernel).mean() < 0.06
+    value, total, count = np.arange(9.0), np.array([0, 2, 1, 1, 0, 3, 2, 4, 1.0]), np.array([1, 2, 2, 1, 2, 3, 3, 4, 2.0])
+    at, level = quality.isotonic(value, total, count)
+    want = [max(min(total[a : b + 1].sum() / count[a : b + 1].sum() for b in range(k, 9)) for a in range(k + 1)) for k in range(9)]
+    assert np.allclose(sorted(set(np.round(want, 9))), np.round(level, 9)) and (np.diff(at) > 0).all()
+
+
+def test_rows_of_quality_stay_apart(spark, docs):
+    rng = random.Random(29)
+    rows = [(k, _text(rng, "en", 30), "en", "s") for k in range(40)]
+    rows += [(7, rows[7][1], None, None)] * 3 + [(900, _text(rng, "en", 60_000), "en", "s"), (None, rows[3][1], "en", "s"), (None, rows[3][1], "en", "s")]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)] + [(7, 1, 0), (8, None, 1), (9, 5, 0)], "doc_id long, quality int, toxic int")
+    got = predict_quality(docs(rows), labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got) and len({r.score for r in got if r.doc_id == 7}) == 1
+    assert len({r.score for r in got if r.doc_id in (None, 3)}) == 1 and not any(r.held_out for r in got if r.doc_id is None)
+
+
 def test_pseudonyms(docs, spark):
     from pyspark.sql import functions as F
 
