@@ -143,6 +143,16 @@ def derive_intervals(events: DataFrame, policy: Policy, build_version: int = 1)
     return out.select("video_session_id", *VOTED, extras.alias("extra_dimensions"), "start_s", "end_s", "is_open", F.lit(build_version).cast("long").alias("build_version"))
 
 
+def session_spans(events: DataFrame) -> DataFrame:
+    """(video_session_id, first_s, last_s, events) of each session."""
+    return events.groupBy("video_session_id").agg(F.min("ts_s").alias("first_s"), F.max("ts_s").alias("last_s"), F.count(F.lit(1)).alias("events"))
+
+
+def session_history(intervals: DataFrame, session: str) -> DataFrame:
+    """All intervals of one session: a lookup that min-max statistics and bloom filters narrow to a few row groups."""
+    return intervals.where(F.col("video_session_id") == session)
+
+
 def latest(intervals: DataFrame, keys: tuple[str, ...] = ("video_session_id", "start_s"), version: str = "build_version") -> DataFrame:
     """The row of highest version for each key."""
     rest = [c for c in intervals.columns if c not in keys]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.operators.hours import hour_rollup
-from kelpline.operators.intervals import derive_intervals
+from kelpline.operators.intervals import derive_intervals, session_spans
 from kelpline.operators.minutes import minute_deltas, user_minutes
 from kelpline.policy import Policy
 from kelpline.sources.workspace import removed, shared_dir, written
@@ -30,12 +30,18 @@ class Model:
         """Delete the tiers; results that still read them become invalid."""
         if "folder" in self.__dict__:
             removed(self.events.sparkSession, self.folder)
-            for name in ("folder", "intervals", "deltas", "hours", "users"):
+            for name in ("folder", "intervals", "spans", "deltas", "hours", "users"):
                 self.__dict__.pop(name, None)
 
     @cached_property
     def intervals(self) -> DataFrame:
-        return written(derive_intervals(self.events, self.policy), f"{self.folder}/intervals")
+        """In order of sessions, each in one file: the order for a session's history, as that of the other tiers is for a time's."""
+        return written(derive_intervals(self.events, self.policy).sortWithinPartitions("video_session_id", "start_s"), f"{self.folder}/intervals", lookups=("video_session_id", "content_id"))
+
+    @cached_property
+    def spans(self) -> DataFrame:
+        """First and last event, and how many, of each session."""
+        return written(session_spans(self.events).sortWithinPartitions("video_session_id"), f"{self.folder}/spans", lookups=("video_session_id",))
 
     @cached_property
     def deltas(self) -> DataFrame:

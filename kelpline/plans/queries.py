@@ -430,7 +430,22 @@ def _dispositions(m: Model) -> DataFrame:
 register("sc07_disposition", _dispositions, f"SELECT 'load 1' AS load_id, count(*) AS landed, count(*) FILTER (WHERE rejected) AS rejected, count(*) FILTER (WHERE NOT rejected) AS typed, count(*) FILTER (WHERE bad AND NOT rejected) AS coalesced FROM {_LANDED}")
 register("sc08_ledger_summary", lambda m: L.ledger_summary(L.cast_landing(_landed(m))[1]).withColumn("sample_detail", F.array_join("sample_detail", "|")), f"SELECT 'events' AS source, reason, disposition, CAST(sum(copies) AS BIGINT) AS rows, count(*) AS distinct_rows, array_to_string(list_sort(list_distinct(list(detail)))[1:5], '|') AS sample_detail FROM {_LEDGER} GROUP BY reason, disposition")
 register("sc13_latest", lambda m: I.latest(m.intervals.unionByName(m.intervals.withColumns({"end_s": F.col("end_s") + 1, "build_version": F.lit(2).cast("long")}))).select("video_session_id", "start_s", "end_s", "build_version"), "SELECT sid AS video_session_id, start_s, end_s + 1 AS end_s, CAST(2 AS BIGINT) AS build_version FROM iv")
-register("sc18_staircase", lambda m: M.expanded(I.derive_intervals(S.staircase(m.events.sparkSession), Policy())), f"SELECT minute, count(*) AS concurrent FROM (SELECT unnest(range(({S.START_S} + 60 * i) // 60 * 60, ({S.START_S} + 60 * i + 660) // 60 * 60 + 60, 60)) AS minute FROM range(60) t(i)) GROUP BY minute")
+register("sc12_session_spans", lambda m: m.spans, "SELECT sid AS video_session_id, min(ts_s) AS first_s, max(ts_s) AS last_s, count(*) AS events FROM ev GROUP BY sid")
+register("sc12_session_history", lambda m: I.session_history(m.intervals, "s3").select("video_session_id", *_IV), f"SELECT sid AS video_session_id, {', '.join(_IV)} FROM iv WHERE sid = 's3'")
+
+
+def _cohorts(m: Model) -> DataFrame:
+    curves = [M.expanded(I.derive_intervals(S.cohort(m.events.sparkSession, n), Policy())).select(F.lit(n).alias("cohort"), "minute", "concurrent") for n in S.COHORTS]
+    return reduce(DataFrame.unionByName, curves)
+
+
+_COHORTS = " UNION ALL ".join(
+    f"SELECT '{n}' AS cohort, minute, count(DISTINCT i) AS concurrent FROM (SELECT i, unnest(range(({S.START_S + a} + {c.stagger_s} * i) // 60 * 60, ({S.START_S + b} + {c.stagger_s} * i) // 60 * 60 + 60, 60)) AS minute FROM range({c.sessions}) t(i)) GROUP BY minute"
+    if len(c.active(60)) == 1 else
+    f"SELECT '{n}' AS cohort, minute, count(DISTINCT i) AS concurrent FROM (SELECT i, unnest(range(({S.START_S} + a + {c.stagger_s} * i) // 60 * 60, ({S.START_S} + b + {c.stagger_s} * i) // 60 * 60 + 60, 60)) AS minute FROM range({c.sessions}) t(i), (VALUES {', '.join(map(str, c.active(60)))}) v(a, b)) GROUP BY minute"
+    for n, c in S.COHORTS.items() for a, b in c.active(60)[:1] if c.span_s
+)  # a lone event is no activity
+register("sc18_cohorts", _cohorts, _COHORTS)
 
 
 # --- publishing: of each four seconds the events of three are published, one batch each, so that most come late
@@ -464,7 +479,7 @@ _register_published(
     4,
 )
 register("h09_freshness", lambda m: (lambda p: p.freshness(now_s=p.commits()[2]["committed_s"] + 60).select("stage", "rows", "age_s", "verdict"))(_published(m)), None)
-register("ss01_stateless", lambda m: stateless_minutes(m.events), "SELECT DISTINCT ts_s // 60 * 60 AS minute, platform, country, content_id, sid AS video_session_id FROM ev WHERE event_type IN ('VideoHeartbeat', 'VideoPlay')")
+_register_published("ss01_stateless", lambda p, m: p.stateless(), "SELECT DISTINCT ts_s // 60 * 60 AS minute, platform, country, content_id, sid AS video_session_id FROM ev WHERE event_type IN ('VideoHeartbeat', 'VideoPlay')")
 
 
 def _variants(m: Model) -> DataFrame:

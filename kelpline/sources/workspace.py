@@ -22,9 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
-def written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
-    """``df`` as a Parquet table at ``path``, read back."""
-    df.write.partitionBy(*partition_by).parquet(path)
+def written(df: DataFrame, path: str, *partition_by: str, lookups: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as a Parquet table at ``path``, read back; columns of ``lookups`` get bloom filters, by which row groups are skipped."""
+    writer = df.write.partitionBy(*partition_by)
+    for c in lookups:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -39,7 +39,7 @@ class GateFailed(RuntimeError):
 class Publisher:
     """Tiers in a folder, kept up to date from a stream of events (columns as ``derive_intervals`` takes them)."""
 
-    TABLES = ("events", "index", "intervals", "sessions", "deltas", "hours", "users", "touched")
+    TABLES = ("events", "index", "intervals", "sessions", "deltas", "hours", "users", "touched", "stateless")
 
     def __init__(self, spark: SparkSession, folder: str, policy: Policy, *, verify: bool = True, compact_every: int = 16) -> None:
         self.spark, self.folder, self.policy, self.verify, self.compact_every = spark, folder.rstrip("/"), policy, verify, compact_every
@@ -168,6 +168,11 @@ class Publisher:
         rows = self._current("users", "touched", "hour", self._chain(generation))
         return None if rows is None else rows.drop("hour")
 
+    def stateless(self, generation: int | None = None) -> DataFrame | None:
+        """(minute, dimensions, session) of heartbeats and plays, each once: no state is kept to count them at any grain."""
+        rows = self._read("stateless", self._chain(generation))
+        return None if rows is None else rows.drop("batch", "day").distinct()
+
     # --- publishing
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -189,6 +194,7 @@ class Publisher:
 
         arrived = put(batch, "events", "ts_s")
         touched = put(arrived.select("video_session_id").distinct(), "sessions")
+        alive = put(stateless_minutes(arrived), "stateless", "minute")
         days = put(arrived.select("video_session_id", F.col("day").alias("on_day")).distinct(), "index")
         known = self._read("index", chain)
         if known is not None:  # the days on which the touched sessions have events, few whatever the history
@@ -225,11 +231,11 @@ class Publisher:
         about = arrived.agg(F.count(F.lit(1)).alias("events"), F.countDistinct("video_session_id").alias("sessions"), F.max("ts_s").alias("watermark_s")).first()
         commit = {
             "batch": batch_id, "parent": chain[-1]["batch"] if chain else -1, "data": data, "whole": False, "events": about.events, "sessions": about.sessions, "watermark_s": about.watermark_s or 0,
-            "policy": self.policy.digest, "owner": self.owner, "committed_s": int(time.time()), "elapsed_ms": int((time.time() - began) * 1000), "by_day": ["events", "intervals", "deltas", "hours", "users"],
+            "policy": self.policy.digest, "owner": self.owner, "committed_s": int(time.time()), "elapsed_ms": int((time.time() - began) * 1000), "by_day": ["events", "intervals", "deltas", "hours", "users", "stateless"],
         }
         if whole:
             self._compact(commit, chain)
-        shapes = {"events": arrived, "index": days, "intervals": new, "sessions": touched, "deltas": changed, "hours": hour_rollup(changed), "users": user_minutes(new).withColumn("hour", hour(F.col("minute"))), "touched": hours}
+        shapes = {"events": arrived, "index": days, "intervals": new, "sessions": touched, "deltas": changed, "hours": hour_rollup(changed), "users": user_minutes(new).withColumn("hour", hour(F.col("minute"))), "touched": hours, "stateless": alive}
         commit["schemas"] = {t: shapes[t].drop("day").schema.jsonValue() if t in commit["by_day"] else shapes[t].schema.jsonValue() for t in self.TABLES}
         self._check_lease()
         if not self._create(json.dumps(commit), "commits", f"{batch_id:012d}.json"):
@@ -243,6 +249,7 @@ class Publisher:
         put = lambda df, table, day=None: self._write(df, commit["data"], table, day)
         put(self._read("events", every).drop("batch", "day"), "events", "ts_s")
         put(self._read("index", every).drop("batch").distinct(), "index")
+        put(self._read("stateless", every).drop("batch", "day").distinct(), "stateless", "minute")
         for table, scope, key, day in (("intervals", "sessions", "video_session_id", "start_s"), ("hours", "touched", "hour", "hour"), ("users", "touched", "hour", "minute")):
             put(self._current(table, scope, key, every), table, day)
         for scope in ("sessions", "touched"):
