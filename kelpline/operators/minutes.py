@@ -42,20 +42,23 @@ def merged_runs(intervals: DataFrame, *keys: str) -> DataFrame:
     return groups.select(*keys, F.col("_first._s").alias("first_m"), "last_m", *[F.col(f"_first.{c}").alias(c) for c in _ORDER])
 
 
-def minute_deltas(intervals: DataFrame) -> DataFrame:
+def minute_deltas(intervals: DataFrame, side: str | None = None) -> DataFrame:
     """(minute, dimensions, delta, starts, ends): +1 where a session opens in an hour, -1 where it closes within it.
 
+    With ``side``, a column of 1 and -1, intervals of -1 are taken back: what is left is a difference.
+
     Each hour that a session spans opens anew, and a close in the hour's last minute is left out, so a
     running sum from the start of any hour is right without what came before.
     """
-    spans = merged_runs(intervals, "video_session_id")
+    sign = F.col(side).cast("long") if side else F.lit(1).cast("long")
+    spans = merged_runs(intervals, "video_session_id", *([side] if side else []))
     pieces = spans.withColumn("_h", F.explode(F.sequence(hour(F.col("first_m")), hour(F.col("last_m")), F.lit(3600).cast("long"))))
     change = lambda at, d: F.struct(at.alias("minute"), F.lit(d).cast("long").alias("d"))
     close = F.col("last_m") + 60
     both = F.array(change(F.greatest("first_m", "_h"), 1), F.when(close < F.col("_h") + 3600, change(close, -1)))
-    rows = pieces.select(*DIMS, F.explode(F.filter(both, lambda x: x.isNotNull())).alias("c"))
-    d = F.col("c.d")
-    return rows.groupBy(F.col("c.minute").alias("minute"), *DIMS).agg(F.sum(d).alias("delta"), F.count_if(d > 0).alias("starts"), F.count_if(d < 0).alias("ends"))
+    rows = pieces.select(*DIMS, sign.alias("_sign"), F.explode(F.filter(both, lambda x: x.isNotNull())).alias("c"))
+    d, s = F.col("c.d"), F.col("_sign")
+    return rows.groupBy(F.col("c.minute").alias("minute"), *DIMS).agg(F.sum(d * s).alias("delta"), F.sum(F.when(d > 0, s).otherwise(0)).alias("starts"), F.sum(F.when(d < 0, s).otherwise(0)).alias("ends"))
 
 
 def change_curve(deltas: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -101,16 +104,37 @@ def level_at(deltas: DataFrame, at_s: int) -> DataFrame:
     return within(deltas, "minute", at // 3600 * 3600, at + 60).agg(F.lit(at).cast("long").alias("minute"), F.coalesce(F.sum("delta"), F.lit(0)).alias("concurrent"))
 
 
+def once_a_minute(spans: DataFrame, start: str, end: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Spans in minutes (inclusive) cut so that those of equal ``keys`` share no minute: an earlier one keeps what they share.
+
+    The spans are moved once, by their keys; minutes that are then made of them are distinct as they are.
+    """
+    earlier = Window.partitionBy(*keys).orderBy(start, end, *order).rowsBetween(Window.unboundedPreceding, -1)
+    cut = spans.withColumn(start, F.greatest(F.col(start), F.coalesce(F.max(end).over(earlier) + 60, F.col(start))))
+    return cut.where(F.col(start) <= F.col(end))
+
+
+def each_minute(start: Column, end: Column) -> Column:
+    return F.explode(F.sequence(start, end, F.lit(60).cast("long")))
+
+
 def expanded(intervals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(minute, ``by``, concurrent): distinct sessions by the interval's own dimensions, minute by minute. The slow truth."""
-    each = intervals.select("video_session_id", *by, F.explode(F.sequence(minute(F.col("start_s")), minute(F.col("end_s")), F.lit(60).cast("long"))).alias("minute"))
-    return each.groupBy("minute", *by).agg(F.countDistinct("video_session_id").alias("concurrent"))
+    spans = intervals.select("video_session_id", *by, minute(F.col("start_s")).alias("_s"), minute(F.col("end_s")).alias("_e"))
+    rows = once_a_minute(spans, "_s", "_e", ["video_session_id", *by]).select(*by, each_minute(F.col("_s"), F.col("_e")).alias("minute"))
+    return rows.groupBy("minute", *by).agg(F.count(F.lit(1)).alias("concurrent"))
+
+
+def user_pieces(intervals: DataFrame) -> DataFrame:
+    """(hour, first_m, last_m, KEYS, user_id): when a user watched with these keys, no minute twice, cut at hours."""
+    spans = once_a_minute(merged_runs(intervals, "video_session_id", "user_id"), "first_m", "last_m", [*KEYS, "user_id"])
+    pieces = spans.withColumn("hour", F.explode(F.sequence(hour(F.col("first_m")), hour(F.col("last_m")), F.lit(3600).cast("long"))))
+    return pieces.select("hour", F.greatest("first_m", "hour").alias("first_m"), F.least("last_m", F.col("hour") + 3540).alias("last_m"), *KEYS, "user_id")
 
 
 def user_minutes(intervals: DataFrame) -> DataFrame:
     """(minute, KEYS, user_id), distinct: the users tier. Counts of users are taken from these rows at any grain, never added up."""
-    spans = merged_runs(intervals, "video_session_id", "user_id")
-    return spans.select(F.explode(F.sequence("first_m", "last_m", F.lit(60).cast("long"))).alias("minute"), *KEYS, "user_id").distinct()
+    return user_pieces(intervals).select(each_minute(F.col("first_m"), F.col("last_m")).alias("minute"), *KEYS, "user_id")
 
 
 def user_curve(users: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -121,8 +145,8 @@ def naive_curve(events: DataFrame) -> DataFrame:
     """(minute, concurrent) if a session counted from its first event to its last; a last event at the very start of a minute doesn't count for it."""
     spans = events.groupBy("video_session_id").agg(F.min("ts_s").alias("a"), F.max("ts_s").alias("b"))
     last = minute(F.col("b") - 1)
-    each = spans.where(last >= minute(F.col("a"))).select("video_session_id", F.explode(F.sequence(minute(F.col("a")), last, F.lit(60).cast("long"))).alias("minute"))
-    return each.groupBy("minute").agg(F.countDistinct("video_session_id").alias("concurrent"))
+    each = spans.where(last >= minute(F.col("a"))).select(each_minute(minute(F.col("a")), last).alias("minute"))
+    return each.groupBy("minute").agg(F.count(F.lit(1)).alias("concurrent"))
 
 
 def stateless_curve(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:

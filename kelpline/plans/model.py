@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from kelpline.operators.hours import hour_rollup
 from kelpline.operators.intervals import derive_intervals, session_spans
-from kelpline.operators.minutes import minute_deltas, user_minutes
+from kelpline.operators.minutes import each_minute, minute_deltas, user_pieces
 from kelpline.policy import Policy
+from kelpline.sources.schema import KEYS
 from kelpline.sources.workspace import removed, shared_dir, written
 
 
@@ -54,7 +56,17 @@ class Model:
 
     @cached_property
     def users(self) -> DataFrame:
-        return _by_day(user_minutes(self.intervals), "minute", f"{self.folder}/users", "minute")
+        """Dealt as pieces of an hour, which become minutes where they are written."""
+        pieces = user_pieces(self.intervals).withColumn("day", F.floor(F.col("hour") / 86400) * 86400).hint("rebalance", "day")
+        rows = pieces.select(each_minute(F.col("first_m"), F.col("last_m")).alias("minute"), *KEYS, "user_id", "day")
+        return written(rows.sortWithinPartitions("day", "minute"), f"{self.folder}/users", "day")
+
+    def build(self) -> None:
+        """All tiers; those that do not need each other at the same time."""
+        _ = self.intervals
+        with ThreadPoolExecutor(3) as pool:
+            for done in [pool.submit(getattr, self, name) for name in ("hours", "users", "spans")]:
+                done.result()
 
 
 def _by_day(rows: DataFrame, at: str, path: str, *order: str) -> DataFrame:

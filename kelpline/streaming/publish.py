@@ -207,10 +207,10 @@ class Publisher:
 
         held = self._current("intervals", "sessions", "video_session_id", chain)
         old = None if held is None else held.join(touched, "video_session_id", "left_semi")
-        change = minute_deltas(new)
+        sides = new.withColumn("_side", F.lit(1))
         if old is not None:
-            gone = minute_deltas(old)
-            change = _summed(change.unionByName(gone.select(*[(-F.col(c)).alias(c) if c in _SUMS else F.col(c) for c in gone.columns])))
+            sides = sides.unionByName(old.withColumn("_side", F.lit(-1)).select(sides.columns))
+        change = minute_deltas(sides, "_side").where("delta <> 0 or starts <> 0 or ends <> 0")
         changed = put(change, "deltas", "minute")  # what goes and what comes in one write: no reader sees the dip between
 
         spans = new.select("start_s", "end_s") if old is None else new.select("start_s", "end_s").unionByName(old.select("start_s", "end_s"))
