@@ -19,31 +19,39 @@ def offset_of(source: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def _in_order(rows: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """``rows`` dealt by range and sorted, with _part and _at: their partition, and a number that grows by one within it."""
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), name)
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float], cap: float) -> DataFrame:
     """(source, source_size) with a target for each source: all sizes shared by weight, none above cap x its size.
 
-    Sources by code point, null last, take ``weights`` in turn. What a capped source leaves is shared
-    by weight among the others until none is above. With sources in the order of cap/weight that is one
-    level: the first at which the share of what is left stays below the next source's cap. One row a
-    source; the windows without a partition run over these few rows only.
+    Sources by code point, null last, take ``weights`` in turn; they are ranked by ranges, however many there are. Each round shares
+    by weight what the sources found to be above their cap leave, until no other is above; a round is one sum over the sources.
     """
-    by_name, by_cap = Window.orderBy(F.col("source").asc_nulls_last()), Window.orderBy("_ratio", "_rank")
-    everything = by_cap.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") - 1) % len(weights) + 1)
-    ranked = sizes.withColumn("_rank", F.row_number().over(by_name)).withColumn("_weight", weight).withColumn("_cap", F.lit(float(cap)) * F.col("source_size")).withColumn("_ratio", F.col("_cap") / F.col("_weight"))
-    capped = F.coalesce(F.sum("_cap").over(by_cap.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    rest = F.sum("_weight").over(by_cap.rowsBetween(0, Window.unboundedFollowing))
-    total = F.sum("source_size").over(everything)
-    level = ranked.withColumn("_level", (total - capped) / rest)
-    final = level.withColumn("_final", F.min(F.when(F.col("_level") <= F.col("_ratio"), F.struct("_ratio", "_rank", "_level"))).over(everything))
-    return final.select("source", "source_size", F.least(F.col("_cap"), F.col("_final._level") * F.col("_weight")).alias("target"))
+    ranked = _in_order(sizes, [F.col("source").asc_nulls_last()], "mix-sources")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")).select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    rank = (F.col("_at") + F.col("_shift")) % len(weights) + 1
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), rank.cast("int"))
+    shares = ranked.join(starts, "_part").select("source", "source_size", weight.alias("_weight"), (F.lit(float(cap)) * F.col("source_size")).alias("_cap"))
+    shares = materialise(shares, "mix-shares").withColumn("_ratio", F.col("_cap") / F.col("_weight"))
+    level = -1.0
+    while True:
+        above = F.col("_ratio") < level
+        total, capped, rest = shares.agg(F.sum("source_size"), F.sum(F.when(above, F.col("_cap"))), F.sum(F.when(~above, F.col("_weight")))).first()
+        new = (float(total) - (capped or 0.0)) / rest if rest else level
+        if new <= level or not rest:
+            break
+        level = new
+    return shares.select("source", "source_size", F.least(F.col("_cap"), F.lit(level) * F.col("_weight")).alias("target"))
 
 
 def _with_copies(slim: DataFrame, weights: Sequence[float], cap: float, seed: int, ties: Sequence[str] = ()) -> DataFrame:
     """Rows of ``slim`` (doc_id, source, size, ties) with source_size, target and copies; ``ties`` order rows that agree in the rest."""
-    order = ["source", "size", "doc_id", *ties]
-    dealt = slim.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = materialise(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "mix-order")
+    placed = _in_order(slim, ["source", "size", "doc_id", *ties], "mix-order")
     parts = placed.groupBy("_part", "source").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("_part", F.col("source").alias("_source"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))

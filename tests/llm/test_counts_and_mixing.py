@@ -101,3 +101,18 @@ def test_long_texts_null_ids_and_equal_rows(docs):
     assert got == sorted((str(i), size[t or ""], len((t or "").encode())) for i, t, *_ in rows)
     words = sorted((str(r.doc_id), r.size) for r in mix_sources(docs(rows)).collect())
     assert words == sorted((str(i), len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for i, t, *_ in rows)
+
+
+@pytest.mark.parametrize("cap", [3.0, 1.2, 0.5])
+def test_many_sources_share_as_filled_by_water(docs, cap):
+    import random
+
+    rng = random.Random(13)
+    rows = [(k, "w " * rng.choice([0, 1, 5, 200, 3000]), "en", f"é{rng.randrange(150)}" if k % 3 else f"Z{rng.randrange(90)}") for k in range(700)] + [(9000, "a b c", "en", None)]
+    sizes: dict = {}
+    for _, t, _, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    names = [*sorted(s for s in sizes if s is not None), None]
+    target = _waterfill(sizes, {s: k % 3 + 1 for k, s in enumerate(names)}, cap)
+    got = {r.source: r.target for r in mix_sources(docs(rows), cap=cap).select("source", "target").distinct().collect()}
+    assert got == pytest.approx(target)
