@@ -22,7 +22,7 @@ ORDERS = (1, 2, 3)
 ROWS = 256
 #: A text is strange if the share of its n-grams that landmarks have is below so much of what nearly all sampled texts of some
 #: length reach that are no landmarks themselves; of fewer than a hundred such texts nothing is concluded.
-STRANGE, TELLING_GRAMS = 0.85, 100
+STRANGE, TELLING_GRAMS = 0.8, 100
 
 #: Symbols: 0 all that is no letter, 1-26 letters, 27-154 bytes of characters from U+0080 on.
 _SYMBOL = np.zeros(256, np.int32)
