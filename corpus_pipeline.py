@@ -16,7 +16,7 @@ from kelpline.llm.storage import materialise
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A text of at least so many letters is rejected if too few of its n-grams are known (``least_known`` of the fitted model): it is in
 #: no learned language. Shorter texts tell too little to be rejected for that.
-TELLING_LETTERS = 40
+TELLING_LETTERS = 100
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
