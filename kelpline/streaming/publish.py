@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -194,7 +195,6 @@ class Publisher:
 
         arrived = put(batch, "events", "ts_s")
         touched = put(arrived.select("video_session_id").distinct(), "sessions")
-        alive = put(stateless_minutes(arrived), "stateless", "minute")
         days = put(arrived.select("video_session_id", F.col("day").alias("on_day")).distinct(), "index")
         known = self._read("index", chain)
         if known is not None:  # the days on which the touched sessions have events, few whatever the history
@@ -221,13 +221,15 @@ class Publisher:
         if chain:
             deltas = deltas.unionByName(self._read("deltas", chain).where(F.col("day").isin(at)).drop("day", "batch"))
         served = _summed(deltas).withColumn("hour", hour(F.col("minute"))).join(hours, "hour", "left_semi").drop("hour")
-        put(hour_rollup(served), "hours", "hour")
         now = new if held is None else new.unionByName(held.join(touched, "video_session_id", "left_anti").select(new.columns))
         spanning = now.withColumn("hour", F.explode(F.sequence(hour(F.col("start_s")), hour(F.col("end_s")), F.lit(3600).cast("long")))).join(hours, "hour", "left_semi").select("video_session_id").distinct()
         around = now.join(spanning, "video_session_id", "left_semi")
-        put(user_minutes(around).withColumn("hour", hour(F.col("minute"))).join(hours, "hour", "left_semi"), "users", "minute")
+        jobs = [lambda: put(hour_rollup(served), "hours", "hour"), lambda: put(user_minutes(around).withColumn("hour", hour(F.col("minute"))).join(hours, "hour", "left_semi"), "users", "minute"), lambda: put(stateless_minutes(arrived), "stateless", "minute")]
         if self.verify:
-            self._gate(full, new, served, around, hours)
+            jobs.append(lambda: self._gate(full, new, served, around, hours))
+        with ThreadPoolExecutor(len(jobs)) as pool:  # none of them needs another one's result
+            for done in [pool.submit(job) for job in jobs]:
+                done.result()
         about = arrived.agg(F.count(F.lit(1)).alias("events"), F.countDistinct("video_session_id").alias("sessions"), F.max("ts_s").alias("watermark_s")).first()
         commit = {
             "batch": batch_id, "parent": chain[-1]["batch"] if chain else -1, "data": data, "whole": False, "events": about.events, "sessions": about.sessions, "watermark_s": about.watermark_s or 0,
@@ -235,7 +237,7 @@ class Publisher:
         }
         if whole:
             self._compact(commit, chain)
-        shapes = {"events": arrived, "index": days, "intervals": new, "sessions": touched, "deltas": changed, "hours": hour_rollup(changed), "users": user_minutes(new).withColumn("hour", hour(F.col("minute"))), "touched": hours, "stateless": alive}
+        shapes = {"events": arrived, "index": days, "intervals": new, "sessions": touched, "deltas": changed, "hours": hour_rollup(changed), "users": user_minutes(new).withColumn("hour", hour(F.col("minute"))), "touched": hours, "stateless": stateless_minutes(arrived)}
         commit["schemas"] = {t: shapes[t].drop("day").schema.jsonValue() if t in commit["by_day"] else shapes[t].schema.jsonValue() for t in self.TABLES}
         self._check_lease()
         if not self._create(json.dumps(commit), "commits", f"{batch_id:012d}.json"):
