@@ -89,8 +89,8 @@ def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("long")
     rows = raw.select("event_id", "user_id", "event_type", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("ts_s"), k.alias("k"))
-    kind = F.when((F.col("event_type") == "error") & (F.col("k") < 20), "VideoSessionEnd").when(F.col("event_type") == "error", "VideoError").when(F.col("event_type").isin("purchase", "signup"), "VideoPlay").otherwise("VideoHeartbeat")
-    name = F.when(F.col("event_type") == "purchase", "pause").when(F.col("event_type") == "signup", "resume").otherwise("beat")
+    kind = F.when((F.col("event_type") == "error") & (F.col("k") < 20), "VideoSessionEnd").when((F.col("event_type") == "error") & (F.col("k") < 45), "AppBackgrounded").when((F.col("event_type") == "error") & (F.col("k") < 70), "AppForegrounded").when(F.col("event_type") == "error", "VideoError").when(F.col("event_type").isin("purchase", "signup"), "VideoPlay").otherwise("VideoHeartbeat")
+    name = F.when(F.col("event_type") == "purchase", "pause").when(F.col("event_type") == "signup", "resume").when(kind.isin("AppBackgrounded", "AppForegrounded"), kind).otherwise("beat")
     pick = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("k") % len(values) + 1).cast("int"))
     resolution = F.create_map(F.lit("video_resolution"), pick("720p", "1080p", "480p", ""))
     return rows.select(

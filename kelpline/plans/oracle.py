@@ -17,9 +17,9 @@ WITH raw AS (
   SELECT event_id, user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS ts_s, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events
 ), ev AS (
   SELECT event_id, k % 20 + 1 + CASE WHEN k % 20 < 18 THEN user_id % 5 * 20 ELSE 1000000000 END AS content_id, 's' || user_id AS sid, 'u' || (user_id // 2) AS user_id, ts_s,
-    CASE WHEN event_type = 'error' AND k < 20 THEN 'VideoSessionEnd' WHEN event_type = 'error' THEN 'VideoError'
+    CASE WHEN event_type = 'error' AND k < 20 THEN 'VideoSessionEnd' WHEN event_type = 'error' AND k < 45 THEN 'AppBackgrounded' WHEN event_type = 'error' AND k < 70 THEN 'AppForegrounded' WHEN event_type = 'error' THEN 'VideoError'
          WHEN event_type IN ('purchase', 'signup') THEN 'VideoPlay' ELSE 'VideoHeartbeat' END AS event_type,
-    CASE event_type WHEN 'purchase' THEN 'pause' WHEN 'signup' THEN 'resume' ELSE 'beat' END AS event,
+    CASE WHEN event_type = 'purchase' THEN 'pause' WHEN event_type = 'signup' THEN 'resume' WHEN event_type = 'error' AND k >= 20 AND k < 45 THEN 'AppBackgrounded' WHEN event_type = 'error' AND k >= 45 AND k < 70 THEN 'AppForegrounded' ELSE 'beat' END AS event,
     'p' || (k % 4) AS platform, '5.0.' || (k % 3) || '.00' AS app_version, 'c' || (user_id % 3) AS country,
     ['hin', 'HIN', 'hin-Hindi', 'eng', 'OFF'][k % 5 + 1] AS audio_language, ['eng', 'none'][k % 2 + 1] AS subtitle_language,
     ['pv1', 'PV1', 'pv2'][k % 3 + 1] AS player_version, CASE WHEN k % 3 <> 0 THEN ['720p', '1080p', '480p', ''][k % 4 + 1] END AS video_resolution, ts_s - k AS session_start_s
