@@ -80,3 +80,48 @@ def test_day_peaks_make_few_rows_of_long_sessions(spark):
     hours = spark.createDataFrame([], "platform string, country string, content_id long, cube_level int, hour long, peak long, integral long")
     long = spark.createDataFrame([("s1", "u1", "web", "IN", 1, BASE, BASE + 3600 * 1000 - 1)], INTERVALS)
     assert _rows_made(V.day_peaks(long, hours)) <= 12 * 1000  # of 60,000 minutes at eight levels
+
+
+def test_users_and_sessions_same_as_sets(spark):
+    rng = random.Random(12)
+    rows = _intervals(rng, 60)
+    truth = _truth(rows)
+    tier = {(m, p, c, k, u) for _, u, p, c, k, a, b in rows for m in _minutes(a, b)}
+    tier |= {(m, "web", "IN", 1, f"x{i}") for m, *_ in rng.sample(sorted(tier, key=str), 40) for i in range(3)}  # users that nobody's session has
+    served = {}
+    for m, p, c, k, u in tier:
+        for cell in _cells(p, c, k):
+            served.setdefault((cell, m), set()).update({u} - {None})
+    want = {}
+    for (cell, m), users in served.items():
+        excess = len(users) - (0 if None in cell else truth.get((cell, m), 0))
+        n, over, most = want.get(cell[0], (0, 0, -99))
+        want[cell[0]] = (n + 1, over + (excess > 0), max(most, excess))
+    got = V.users_le_sessions(spark.createDataFrame(rows, INTERVALS), spark.createDataFrame(list(tier), "minute long, platform string, country string, content_id long, user_id string")).collect()
+    assert {r.cube_level: (r.cells_compared, r.violations, r.max_excess) for r in got} == want
+    assert all(r.verdict == "FAIL" for r in got)
+
+
+def test_users_and_sessions_make_few_rows_of_long_sessions(spark):
+    from kelpline.operators.minutes import user_minutes
+
+    long = spark.createDataFrame([("s1", "u1", "web", "IN", 1, BASE, BASE + 3600 * 1000 - 1)], INTERVALS)
+    users = user_minutes(long.selectExpr("*", *[f"'x' AS {c}" for c in ("app_version", "audio_language", "subtitle_language", "player_version")])).localCheckpoint()
+    assert _rows_made(V.users_le_sessions(long, users)) <= 24 * 1000  # of 60,000 minutes of sessions and of users at eight levels
+
+
+def test_users_tier_of_many_tasks(spark, tmp_path, monkeypatch):
+    """The minutes of one hour go to several tasks if they are many; each is there once, in its day's folder."""
+    from builders import event, table
+
+    from kelpline.plans import model
+    from kelpline.policy import Policy
+
+    rows = [event(BASE + 60 * k + 3600 * (s % 30), session=f"S{s}", user=f"U{s // 2}", content=s % 3) for s in range(40) for k in range(5)]
+    few, many = (model.Model(table(spark, rows), None, Policy(gap_s=150, tail_s=60)) for _ in range(2))
+    want = sorted(tuple(r) for r in few.users.collect())
+    monkeypatch.setattr(model, "MINUTES_A_TASK", 3)
+    deep = many.users
+    assert sorted(tuple(r) for r in deep.collect()) == want and len(want) == len(set(want))
+    assert len(deep.inputFiles()) > len(few.users.inputFiles()) and all(r.day == r.minute // 86400 * 86400 for r in deep.collect())
+    few.release(), many.release()
